@@ -7,9 +7,11 @@ Arrow UDF that leaves folding to Python's Unicode database.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Mapping
 from functools import lru_cache
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tintero.config import TokenRules
@@ -88,37 +90,61 @@ def _expansion_literals() -> tuple[str, str, str]:
     return guard, f"{exact}|{others}", pairs
 
 
-def _expand(text: Column) -> Column:
-    """Replace every character that folds to several, where there is any."""
+def as_text(c: Column) -> Column:
+    """Cast to string, missing becomes the empty string."""
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
+def _expand(lowered: Column) -> Column:
+    """Replace every character that folds to several, in the texts that have any."""
     guard, pieces, pairs = _expansion_literals()
     table = F.str_to_map(F.lit(pairs), F.lit(_PAIR), F.lit(_FIELD))
     replaced = F.transform(
-        F.regexp_extract_all(text, F.lit(pieces), F.lit(0)),
+        F.regexp_extract_all(lowered, F.lit(pieces), F.lit(0)),
         lambda piece: F.coalesce(F.try_element_at(table, piece), piece),
     )
-    return F.when(F.rlike(text, F.lit(guard)), F.array_join(replaced, "")).otherwise(text)
+    affected = ~_is_ascii(lowered) & F.rlike(lowered, F.lit(guard))
+    return F.when(affected, F.array_join(replaced, "")).otherwise(lowered)
 
 
-def as_text(c: Column) -> Column:
-    """Cast to string, missing becomes the empty string."""
-    return F.coalesce(c.cast("string"), F.lit(""))
+def _is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.char_length(c)
 
 
-def fold(c: Column) -> Column:
-    """Lower case, compatibility-decomposed, without combining marks."""
+def _translated(expanded: Column) -> Column:
     source, target, _ = fold_tables()
-    text = as_text(c)
-    lowered = F.lower(text)
-    ascii_only = F.octet_length(text) == F.char_length(text)
-    return F.when(ascii_only, lowered).otherwise(F.translate(_expand(lowered), source, target))
+    return F.when(_is_ascii(expanded), expanded).otherwise(F.translate(expanded, source, target))
+
+
+def fold(c: Column) -> Column:
+    """Lower case, compatibility-decomposed, without combining marks; missing becomes empty."""
+    return _translated(_expand(F.lower(as_text(c))))
+
+
+def half_folded(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add ``columns`` with all of :func:`fold` done but its last step, :func:`finish_fold`.
+
+    The steps use their input several times.  As columns of their own they are
+    computed once per row, and the step that generated code cannot take in keeps
+    to itself, so what follows is still compiled into one stage.
+    """
+    lowered = df.withColumns({name: F.lower(as_text(c)) for name, c in columns.items()})
+    return lowered.withColumns({name: _expand(F.col(name)) for name in columns})
+
+
+def finish_fold(c: Column) -> Column:
+    return _translated(c)
+
+
+def with_folded(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add columns with the :func:`fold` of the given ones."""
+    return half_folded(df, columns).withColumns({name: finish_fold(F.col(name)) for name in columns})
 
 
 def fold_arrow():
     """Arrow UDF form of :func:`fold`, for callers that also want Hangul decomposed."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
-    @pandas_udf("string")
+    @F.pandas_udf("string")
     def fold_series(texts: pd.Series) -> pd.Series:
         return texts.fillna("").str.lower().map(_decomposed)
 

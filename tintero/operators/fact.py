@@ -29,9 +29,7 @@ def assemble_fact(
     The day key and month are computed from the date instead of joined; the
     validations compare them with the date dimension.
     """
-    folded = clean.withColumns(
-        {"title_clean": text.fold(F.col("title")), "body_clean": text.fold(F.col("body"))}
-    )
+    folded = text.with_folded(clean, {"title_clean": F.col("title"), "body_clean": F.col("body")})
     counted = vote(folded, aliases, unknown, title_weight=title_weight).withColumns(
         {
             "word_count_title": text.word_count(F.col("title_clean")),

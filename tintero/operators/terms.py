@@ -26,8 +26,9 @@ def sum_emitted(
 ) -> DataFrame:
     """Flat-map then sum: one row per element of the array ``emitted``, summed by key and element."""
     value = F.lit(1) if value is None else value
-    flat = df.select(*keys, value.alias("_value"), F.explode(emitted).alias(name))
-    names = [c for c in flat.columns if c != "_value"]
+    pairs = df.select(*keys, value.alias("_value"), emitted.alias("_emitted"))
+    names = [*pairs.columns[:-2], name]
+    flat = pairs.select(*pairs.columns[:-1], F.explode("_emitted").alias(name))
     return flat.groupBy(*names).agg(F.sum("_value").cast("long").alias(out))
 
 
@@ -39,8 +40,11 @@ def explode_terms(
 ) -> DataFrame:
     """One row per accepted term of the joined ``texts``."""
     columns = [F.col(t) if isinstance(t, str) else t for t in texts]
-    candidates = text.term_candidates(text.fold(text.joined(*columns)), rules)
-    terms = df.select(*keys, F.explode(candidates).alias("term"))
+    # Keys are computed here, per article, and not after the explode, per term.
+    keyed = df.select(*keys, text.joined(*columns).alias("_text"))
+    keyed = text.half_folded(keyed, {"_text": F.col("_text")})
+    candidates = text.term_candidates(text.finish_fold(F.col("_text")), rules)
+    terms = keyed.select(*keyed.columns[:-1], F.explode(candidates).alias("term"))
     return terms.where(text.not_stop_word(F.col("term"), rules))
 
 

@@ -10,7 +10,7 @@ from tintero.config import AnalyticsConfig
 from tintero.functions import dates
 from tintero.operators import series, terms
 from tintero.operators.joins import add_names
-from tintero.session import materialize
+from tintero.session import materialize, spread_small
 from tintero.sources import results
 from tintero.sources import warehouse as store
 
@@ -45,7 +45,7 @@ def analytics_frames(
 ) -> dict[str, DataFrame]:
     """The four results as DataFrames, all derived from one stored count table."""
     fact = store.scan_fact(spark, warehouse)
-    base = materialize(base_counts(fact, config), "term-counts")
+    base = materialize(base_counts(spread_small(fact, "article_id"), config), "term-counts")
 
     monthly = terms.top_terms(terms.recount(base, ["year_month", "term"]), config.top_k)
 

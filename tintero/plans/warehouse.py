@@ -8,7 +8,7 @@ from tintero.config import WarehouseConfig
 from tintero.operators import dimensions, quality
 from tintero.operators.cleaning import clean_articles
 from tintero.operators.fact import assemble_fact
-from tintero.session import scratch_path
+from tintero.session import scratch_path, spread_small
 from tintero.sources import warehouse as store
 from tintero.sources.articles import land_articles, read_article_csv
 
@@ -44,7 +44,11 @@ def build_warehouse(
     dims = {name: store.write_dimension(df, warehouse, name) for name, df in dims.items()}
 
     fact = assemble_fact(
-        clean, dims["dim_source"], config.aliases, config.unknown_class, config.title_weight
+        clean_articles(spread_small(raw, "article_id"), placeholders=config.placeholders),
+        dims["dim_source"],
+        config.aliases,
+        config.unknown_class,
+        config.title_weight,
     )
     store.write_fact(fact, warehouse)
 

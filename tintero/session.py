@@ -42,6 +42,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_SCRATCH[app]
 
 
+def spread_small(scan: DataFrame, key: str) -> DataFrame:
+    """Spread a scan with few splits over all cores before CPU-heavy work on its text.
+
+    A file with one row group, or a handful of small files, would keep one core
+    busy.  Spark makes more than two splits per core of anything above a few
+    hundred MB per core, so large inputs pass unchanged and are never shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() > 2 * cores:
+        return scan
+    return scan.repartition(2 * cores, key)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

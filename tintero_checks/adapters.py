@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tintero.config import AnalyticsConfig, TokenRules, WarehouseConfig
 from tintero.operators.dimensions import source_dimension
 from tintero.operators.fact import assemble_fact
+from tintero.session import spread_small
 
 #: aliases that several classes share, so each class must search on its own
 SHARED_MARKERS = {
@@ -52,8 +53,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _as_articles(table(spark, sf_dir, "documents"))
+
+
+def text_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`articles` for work on the text itself."""
+    return _as_articles(spread_small(table(spark, sf_dir, "documents"), "doc_id"))
+
+
+def _as_articles(documents: DataFrame) -> DataFrame:
     first_break = F.instr("text", "\n")
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         F.col("doc_id").alias("article_id"),
         F.substring_index("text", "\n", 1).alias("title"),
         F.when(first_break > 0, F.expr("substring(text, instr(text, '\n') + 1)"))
@@ -111,5 +121,5 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = articles(spark, sf_dir)
-    return assemble_fact(clean, source_dimension(clean), MARKERS_APART, UNKNOWN)
+    sources = source_dimension(articles(spark, sf_dir))
+    return assemble_fact(text_articles(spark, sf_dir), sources, MARKERS_APART, UNKNOWN)

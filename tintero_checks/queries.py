@@ -28,7 +28,7 @@ from tintero.operators import fact as facts
 from tintero.plans import analytics as analytics_job
 from tintero.plans.report import build_reports
 from tintero.plans.warehouse import build_warehouse
-from tintero.session import scratch_path
+from tintero.session import materialize, scratch_path
 from tintero.sources import articles as article_files
 from tintero.sources import results, warehouse
 from tintero_checks import sql
@@ -44,6 +44,7 @@ from tintero_checks.adapters import (
     fact,
     raw_articles,
     table,
+    text_articles,
     year_month,
 )
 
@@ -69,7 +70,17 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def counted(spark: SparkSession, sf_dir: str, *keys: str, rules: TokenRules = NO_STOP_WORDS) -> DataFrame:
     keyed = [year_month() if k == "year_month" else k for k in keys]
-    return terms.term_counts(articles(spark, sf_dir), keyed, rules=rules)
+    return terms.term_counts(text_articles(spark, sf_dir), keyed, rules=rules)
+
+
+def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = {"title_clean": F.col("title"), "body_clean": F.col("body")}
+    return text.with_folded(text_articles(spark, sf_dir), columns)
+
+
+def _joined_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = {"whole": text.joined(F.col("title"), F.col("body"))}
+    return text.with_folded(text_articles(spark, sf_dir), whole)
 
 
 A, KEPT = sql.ARTICLES, sql.kept_terms()
@@ -95,13 +106,20 @@ def top_terms_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     md5({sql.fold("body")}) AS body_md5 FROM articles""",
 )
 def text_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles(spark, sf_dir).select(
-        "article_id",
-        text.fold(F.col("title")).alias("title_clean"),
-        F.md5(text.fold(F.col("body"))).alias("body_md5"),
+    return _folded(spark, sf_dir).select(
+        "article_id", "title_clean", F.md5("body_clean").alias("body_md5")
     )
 
 
+@register(
+    "text_fold_arrow",
+    f"WITH {A} SELECT article_id, {sql.fold("title")} AS title_clean FROM articles",
+)
+def text_fold_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = text.fold_arrow()
+    return articles(spark, sf_dir).select("article_id", fold("title").alias("title_clean"))
+
+
 @register(
     "text_joined",
     f"""WITH {A} SELECT article_id,
@@ -122,8 +140,7 @@ def text_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
       FROM articles)""",
 )
 def letter_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = text.letter_runs(text.fold(text.joined(F.col("title"), F.col("body"))))
-    tokens = articles(spark, sf_dir).select("article_id", runs.alias("t"))
+    tokens = _joined_fold(spark, sf_dir).select("article_id", text.letter_runs(F.col("whole")).alias("t"))
     return tokens.select(
         "article_id",
         F.size("t").cast("long").alias("n_runs"),
@@ -138,7 +155,7 @@ def letter_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM kept GROUP BY article_id""",
 )
 def term_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = terms.term_counts(articles(spark, sf_dir), ["article_id"])
+    kept = terms.term_counts(text_articles(spark, sf_dir), ["article_id"])
     return kept.groupBy("article_id").agg(
         F.sum("count").alias("n_terms"),
         F.count("*").alias("n_distinct"),
@@ -152,8 +169,8 @@ def term_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT lang, term, count(*) AS count FROM kept GROUP BY lang, term""",
 )
 def term_rules_as_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = text.letter_runs(text.fold(text.joined(F.col("title"), F.col("body"))))
-    words = articles(spark, sf_dir).select("lang", F.explode(runs).alias("term"))
+    runs = text.letter_runs(F.col("whole"))
+    words = _joined_fold(spark, sf_dir).select("lang", F.explode(runs).alias("term"))
     counts = words.groupBy("lang", "term").agg(F.count("*").alias("count"))
     return counts.where(text.is_term(F.col("term"), TokenRules()))
 
@@ -187,9 +204,9 @@ def stop_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     {sql.spaces(sql.fold("body"))} AS word_count_body FROM articles""",
 )
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return articles(spark, sf_dir).select(
+    return _folded(spark, sf_dir).select(
         "article_id",
-        *[text.word_count(text.fold(F.col(c))).alias(f"word_count_{c}") for c in ("title", "body")],
+        *[text.word_count(F.col(f"{c}_clean")).alias(f"word_count_{c}") for c in ("title", "body")],
     )
 
 
@@ -460,13 +477,9 @@ def articles_by_class_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- classifier
 
 
-def _voted(spark: SparkSession, sf_dir: str, aliases, **options) -> DataFrame:
-    folded = articles(spark, sf_dir).select(
-        "article_id",
-        text.fold(F.col("title")).alias("title_clean"),
-        text.fold(F.col("body")).alias("body_clean"),
-    )
-    return classify.vote(folded, aliases, UNKNOWN, **options).select("article_id", "region_id")
+def _voted(spark: SparkSession, sf_dir: str, aliases, unknown: int = UNKNOWN, **options) -> DataFrame:
+    voted = classify.vote(_folded(spark, sf_dir), aliases, unknown, **options)
+    return voted.select("article_id", "region_id")
 
 
 _VOTED = "SELECT article_id, region_id FROM voted"
@@ -495,13 +508,7 @@ def region_vote_title_breaks_ties(spark: SparkSession, sf_dir: str) -> DataFrame
     f"WITH {A}, {sql.voted(lexicon.REGION_ALIASES, lexicon.UNKNOWN_REGION)} {_VOTED}",
 )
 def region_vote_default_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folded = articles(spark, sf_dir).select(
-        "article_id",
-        text.fold(F.col("title")).alias("title_clean"),
-        text.fold(F.col("body")).alias("body_clean"),
-    )
-    voted = classify.vote(folded, lexicon.REGION_ALIASES, lexicon.UNKNOWN_REGION)
-    return voted.select("article_id", "region_id")
+    return _voted(spark, sf_dir, lexicon.REGION_ALIASES, lexicon.UNKNOWN_REGION)
 
 
 # ---------------------------------------------------------------- fact
@@ -916,7 +923,8 @@ _REPORT_NAMES = ("referential_integrity", "row_count", "dimension_keys_unique",
 )
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean = articles(spark, sf_dir)
-    return quality.validation_report(clean, _broken(spark, sf_dir), _dims(spark, sf_dir))
+    stored = materialize(_broken(spark, sf_dir), "broken-fact")  # as the job does: checks read a table
+    return quality.validation_report(clean, stored, _dims(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- report tables

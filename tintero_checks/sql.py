@@ -64,6 +64,11 @@ kept AS (
     AND len(list_distinct(string_split(term, ''))) > 2{stop})"""
 
 
+def _plain_words(expr: str) -> str:
+    """DuckDB's ``\\b`` knows ASCII only: let other letters and digits count as word characters too."""
+    return rf"regexp_replace({expr}, '[^\x00-\x7F\p{{P}}\p{{S}}\p{{Z}}\p{{C}}\p{{M}}]', 'x', 'g')"
+
+
 def _hits(expr: str, words: list[str]) -> str:
     return rf"len(regexp_extract_all({expr}, '\b(?:{'|'.join(words)})\b'))"
 
@@ -76,7 +81,8 @@ def voted(aliases: dict[int, list[str]], unknown: int, title_first: bool = False
     )
     tie = "in_title DESC, " if title_first else ""
     return f"""folded AS (
-  SELECT article_id, {fold("title")} AS t, {fold("body")} AS b FROM articles),
+  SELECT article_id, {_plain_words(fold("title"))} AS t, {_plain_words(fold("body"))} AS b
+  FROM articles),
 ballots AS ({ballots}),
 ranked AS (
   SELECT article_id, id, 3 * in_title + in_body AS score,

@@ -34,7 +34,7 @@ def build_warehouse(
     else:
         files = read_article_csv(spark, articles, id_type=config.id_type)
         raw = land_articles(files, scratch_path(spark, "landed"))
-    clean = clean_articles(raw, placeholders=config.placeholders)
+    clean = clean_articles(spread_small(raw, "article_id"), placeholders=config.placeholders)
 
     dims = {
         "dim_date": dimensions.date_dimension(clean),
@@ -44,7 +44,7 @@ def build_warehouse(
     dims = {name: store.write_dimension(df, warehouse, name) for name, df in dims.items()}
 
     fact = assemble_fact(
-        clean_articles(spread_small(raw, "article_id"), placeholders=config.placeholders),
+        clean,
         dims["dim_source"],
         config.aliases,
         config.unknown_class,

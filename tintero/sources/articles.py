@@ -35,7 +35,8 @@ def read_article_csv(
 
     Adds ``ingest_seq``, which follows (file name, row in file).  Quoted line
     breaks make a file unsplittable, so one task reads one file: deliver large
-    inputs as many files, and land them once with :func:`land_articles`.
+    inputs as many files, and land them once with :func:`land_articles`.  In files
+    with CRLF line ends, line breaks inside fields arrive as LF.
     """
     raw = (
         spark.read.option("header", True)

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FACT = "fact_news"
+FACT_SCHEMA = (
+    "article_id bigint, title string, body string, word_count_title bigint, "
+    "word_count_body bigint, date_id int, source_id bigint, region_id int, year int, month string"
+)
 PARTITIONS = ("year", "month")
 
 
@@ -55,9 +59,15 @@ def scan_fact(
     """The fact, with ``month`` back in its two-digit form.
 
     ``columns`` that the fact does not have are ignored.  Filters on year and
-    month prune partitions.
+    month prune partitions.  A missing folder is an error; one without files, as
+    written for no articles at all, is an empty fact.
     """
-    fact = spark.read.parquet(f"{warehouse}/{name}")
+    try:
+        fact = spark.read.parquet(f"{warehouse}/{name}")
+    except AnalysisException as problem:
+        if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        fact = spark.createDataFrame([], FACT_SCHEMA)
     if "month" in fact.columns:
         fact = fact.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
     if columns is None:

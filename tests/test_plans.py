@@ -91,7 +91,7 @@ def test_keep_last_narrow_does_not_shuffle_text(spark, stored):
     raw = stored.select(pairs.alias("id"), "title", "body", F.col("article_id").alias("ingest_seq"))
     plan = executed(cleaning.keep_last_narrow(raw, "id", "ingest_seq"))
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
-    assert len(shuffles) == 1 and text_scans(plan) == 1
+    assert shuffles == [] and text_scans(plan) == 1
     assert "LeftAnti, BuildRight" in plan
 
 

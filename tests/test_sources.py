@@ -1,4 +1,5 @@
 import csv
+import random
 
 import pandas as pd
 import pytest
@@ -64,6 +65,40 @@ def test_sequence_follows_file_name_then_row(spark, tmp_path):
     assert landed.select("ingest_seq").distinct().count() == 453
 
 
+@pytest.fixture
+def tiny_splits(spark):
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_split_files_give_the_same_articles(spark, tmp_path, tiny_splits, end):
+    random.seed(8)
+    bits = ["a", '"', ",", "\n", "\n\n", "é", " ", "long " * 30, '""', "x\ny"]
+
+    def field(n):
+        return "".join(random.choices(bits, k=random.randrange(n)))
+
+    for name in ("b.csv", "a.csv"):
+        lines = [[i, field(5), "e", field(40), field(4), "2023-01-05"] for i in range(120)]
+        lines[50][3] = '"quoted"\n' * 200  # one record over many splits
+        write(tmp_path / name, lines, end=end)
+    assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 50
+    read = [files.read_article_csv(spark, str(tmp_path), split_files=s) for s in (False, True)]
+    whole, split = [[tuple(r) for r in df.orderBy("ingest_seq").collect()] for df in read]
+    assert [r[:-1] for r in split] == [r[:-1] for r in whole]
+    want = as_pandas_reads(tmp_path / "a.csv") + as_pandas_reads(tmp_path / "b.csv")
+    assert [(str(r[0]), *r[1:-1]) for r in split] == want
+
+
+def test_split_mode_starts_with_the_file_size(spark, tmp_path):
+    write(tmp_path / "a.csv", LINES[:1])
+    assert files.has_large_file(spark, str(tmp_path), 20)
+    assert not files.has_large_file(spark, str(tmp_path), 20_000)
+
+
 def test_malformed_id_fails_instead_of_vanishing(spark, tmp_path):
     write(tmp_path / "bad.csv", [["x1", "t", "e", "b", "s", "2023-01-01"]])
     with pytest.raises(Exception, match="not a bigint: x1"):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tintero import lexicon
 from tintero.functions import dates
 from tintero.operators.joins import fits_broadcast
+from tintero.session import materialize
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -27,15 +28,17 @@ def keep_last_narrow(
 ) -> DataFrame:
     """:func:`keep_last` for wide rows with few repeated keys, without shuffling the rows.
 
-    A narrow aggregate finds the repeated keys.  If there are few (counted), they
-    are broadcast and older copies are dropped where they are read; otherwise the
-    window form is used.  ``df`` should be a stored table with a unique ``order``.
+    A narrow aggregate finds the repeated keys and stores them.  If there are few
+    (counted), they are broadcast and older copies are dropped where they are read;
+    otherwise the window form is used.  ``df`` should be a stored table with a
+    unique ``order``.
     """
-    repeated = (
+    repeated = materialize(
         df.groupBy(F.col(key).alias("_key"))
         .agg(F.max(order).alias("_last"), F.count("*").alias("_n"))
         .where("_n > 1")
-        .select("_key", "_last")
+        .select("_key", "_last"),
+        "repeated-keys",
     )
     if not fits_broadcast(repeated, max_broadcast_rows):
         return keep_last(df, [key], [order])

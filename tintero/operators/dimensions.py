@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tintero.functions import dates
+from tintero.session import materialize
 
 #: up to this many keys one sorted task numbers them (a few MB)
 SINGLE_TASK_KEYS = 100_000
@@ -41,12 +42,15 @@ def numbered_by_first_seen(
 ) -> DataFrame:
     """Distinct keys, numbered from 1 in order of first appearance.
 
-    Rows are reduced to one per key before anything is ordered.  A small key set
-    (counted) is numbered by one window.  A larger one is cut into ranges of its
+    Rows are reduced to one per key, and stored, before anything is ordered.  A
+    small key set (counted) is numbered by one window.  A larger one is cut into ranges of its
     first-seen values; each range is numbered on its own and shifted by the
-    number of keys in the ranges before it.
+    number of keys in the ranges before it.  ``order`` should be nearly unique, as
+    keys first seen at the same value stay in one range.
     """
-    keys = df.groupBy(F.col(key).alias(key_out)).agg(F.min(order).alias("_first"))
+    keys = materialize(
+        df.groupBy(F.col(key).alias(key_out)).agg(F.min(order).alias("_first")), "first-seen"
+    )
     marks = [i / _BUCKETS for i in range(1, _BUCKETS)]
     stats = keys.agg(
         F.count("*").alias("n"), F.percentile_approx("_first", marks, 10_000).alias("bounds")

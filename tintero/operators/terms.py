@@ -129,6 +129,28 @@ def allowed_terms(counts: DataFrame, min_global_count: int) -> DataFrame:
     return at_least(with_global_count(counts), "global_count", min_global_count)
 
 
+def with_totals(counts: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """Add ``class_total`` and ``corpus_total`` of ``counts`` to ``rows``.
+
+    The condition is null-safe because a plain one would let "is not null", and any
+    filter on the class of ``rows``, be pushed into the totals, which then could
+    not share the counting stage with ``rows``.
+    """
+    totals = class_totals(counts, key, "class_total").withColumnRenamed(key, "_class")
+    corpus = totals.agg(F.sum("class_total").alias("corpus_total"))
+    same = F.col(key).eqNullSafe(F.col("_class"))
+    return rows.join(totals, same).drop("_class").crossJoin(F.broadcast(corpus))  # one row
+
+
+def shares(counts: DataFrame, key: str) -> DataFrame:
+    """Each count relative to its class and to the corpus."""
+    return with_totals(counts, counts, key).select(
+        *counts.columns,
+        (F.col("count") / F.col("class_total")).alias("class_share"),
+        (F.col("count") / F.col("corpus_total")).alias("corpus_share"),
+    )
+
+
 def relative_lift(
     counts: DataFrame,
     key: str,
@@ -144,18 +166,12 @@ def relative_lift(
     side covers everything, the excluded class and unclassified rows included.
     ``limit`` keeps that many terms per class, 0 keeps all.
     """
-    totals = class_totals(counts, key, "class_total").withColumnRenamed(key, "_class")
-    corpus = totals.agg(F.sum("class_total").alias("corpus_total"))
     frequent = allowed_terms(counts, min_global_count)
-    frequent = at_least(frequent, "count", min_class_count)
-    # A null-safe condition, because a plain one would push "is not null" and the
-    # exclusion into the totals, which then could not share the counting stage.
-    rows = frequent.join(totals, F.col(key).eqNullSafe(F.col("_class")))
+    rows = with_totals(counts, at_least(frequent, "count", min_class_count), key)
     if excluded is not None:
         rows = exclude_class(rows, key, excluded)
     else:
         rows = rows.where(F.col(key).isNotNull())
-    rows = rows.crossJoin(F.broadcast(corpus))  # one row
     share = F.col("count") / F.col("class_total")
     corpus_share = F.col("global_count") / F.col("corpus_total")
     rows = rows.select(

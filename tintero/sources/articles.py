@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tintero import lexicon
+from tintero.sources.split_csv import csv_records
 
 ARTICLE_COLUMNS = ("article_id", "title", "body", "source", "publish_date")
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
+_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+_POSITION_BITS = 44  # room for files of 16 TB, and for half a million of them
+#: files above this size are read by several tasks each
+SPLIT_ABOVE_BYTES = 512 * 1024 * 1024
 
 
 def na_to_null(c: Column, tokens: Sequence[str] = lexicon.NA_TOKENS) -> Column:
@@ -24,44 +28,65 @@ def strict_cast(c: Column, type_name: str) -> Column:
     return F.when(c.isNotNull() & cast.isNull(), bad).otherwise(cast)
 
 
+def has_large_file(spark: SparkSession, path: str | list[str], limit: int) -> bool:
+    """Whether a file is larger than ``limit``; looks at sizes only."""
+    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
+    return sizes is not None and sizes > limit
+
+
+def _file_ranks(spark: SparkSession, files: list[str]) -> DataFrame:
+    """Position of each file by name: one row per file, as listed by the driver already."""
+    rows = [(_plain(f), i) for i, f in enumerate(sorted(files))]
+    return F.broadcast(spark.createDataFrame(rows, "ranked string, file_rank long"))
+
+
+def _plain(uri: str) -> str:
+    """``file:///a`` and ``file:/a`` are the same file."""
+    scheme, _, rest = uri.partition(":")
+    return f"{scheme}:/{rest.lstrip('/')}" if scheme == "file" else uri
+
+
 def read_article_csv(
     spark: SparkSession,
     path: str | list[str],
     columns: Sequence[str] = ARTICLE_COLUMNS,
     id_type: str = "bigint",
     na_tokens: Sequence[str] = lexicon.NA_TOKENS,
+    split_files: bool | None = None,
 ) -> DataFrame:
     """Article files with a header, quoted multi-line fields and doubled quotes.
 
-    Adds ``ingest_seq``, which follows (file name, row in file).  Quoted line
-    breaks make a file unsplittable, so one task reads one file: deliver large
-    inputs as many files, and land them once with :func:`land_articles`.  In files
-    with CRLF line ends, line breaks inside fields arrive as LF.
+    Adds ``ingest_seq``, which follows (file name, place in the file).  One task
+    reads one file, unless a file is larger than ``SPLIT_ABOVE_BYTES``, or
+    ``split_files`` says so: then see :mod:`tintero.sources.split_csv`.  All files
+    have the same header.  In files with CRLF line ends, line breaks inside
+    fields may arrive as LF.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
-    files = sorted(raw.inputFiles())
-    ranks = F.broadcast(  # one row per input file, as listed by the driver already
-        spark.createDataFrame([(f, i) for i, f in enumerate(files)], "file string, file_rank long")
-    )
-    numbered = raw.select(
-        *[na_to_null(F.col(c), na_tokens).alias(c) for c in columns],
-        F.input_file_name().alias("file"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    in_file = F.col("row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    rows = numbered.join(ranks, "file", "left").withColumn(
-        "ingest_seq", F.shiftleft("file_rank", _ROW_BITS) + in_file
-    )
+    whole_files = spark.read.options(**_CSV).csv(path)  # reads the header only
+    ranks = _file_ranks(spark, whole_files.inputFiles())
+    if split_files is None:
+        split_files = has_large_file(spark, path, SPLIT_ABOVE_BYTES)
+    if split_files:
+        names = ", ".join(f"`{c}` string" for c in whole_files.columns)
+        record = F.from_csv("text", names, _CSV | {"header": "false"})
+        placed = csv_records(spark, path).select(record.alias("r"), "file", "position")
+        placed = placed.select("r.*", "file", "position")
+    else:
+        in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        placed = whole_files.select(
+            "*", F.col("_metadata.file_path").alias("file"), in_partition.alias("position")
+        )
+    plain = F.regexp_replace("file", "^file:/+", "file:/")
+    sequence = F.shiftleft("file_rank", _POSITION_BITS) + F.col("position")
     typed = [
-        strict_cast(F.col(c), id_type).alias(c) if c == "article_id" else F.col(c) for c in columns
+        strict_cast(na_to_null(F.col(c), na_tokens), id_type).alias(c)
+        if c == "article_id"
+        else na_to_null(F.col(c), na_tokens).alias(c)
+        for c in columns
     ]
-    return rows.select(*typed, "ingest_seq")
+    return placed.join(ranks, plain == F.col("ranked"), "left").select(
+        *typed, sequence.alias("ingest_seq")
+    )
 
 
 def land_articles(df: DataFrame, path: str) -> DataFrame:

@@ -335,13 +335,23 @@ def _write_article_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@register(
-    "csv_scan",
-    f"""WITH {sql.RAW} SELECT article_id, title, md5(body) AS body_md5, source, publish_date,
-    row_number() OVER (ORDER BY ingest_seq) AS position FROM raw_articles""",
-)
+_CSV_ROWS = f"""WITH {sql.RAW}
+    SELECT article_id, title, md5(body) AS body_md5, source, publish_date,
+    row_number() OVER (ORDER BY ingest_seq) AS position FROM raw_articles"""
+
+
+@register("csv_scan", _CSV_ROWS)
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = article_files.read_article_csv(spark, _write_article_csv(spark, sf_dir))
+    return _with_position(article_files.read_article_csv(spark, _write_article_csv(spark, sf_dir)))
+
+
+@register("csv_scan_by_splits", _CSV_ROWS)
+def csv_scan_by_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _write_article_csv(spark, sf_dir)
+    return _with_position(article_files.read_article_csv(spark, path, split_files=True))
+
+
+def _with_position(rows: DataFrame) -> DataFrame:
     numbered = dimensions.numbered_by_first_seen(
         rows, "ingest_seq", "ingest_seq", "seq", "position", single_task_keys=100
     )
@@ -691,6 +701,18 @@ def source_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.vocabulary(counted(spark, sf_dir, "source"), "source")
 
 
+@register(
+    "term_shares",
+    f"""WITH {A}, {KEPT}, n AS (SELECT source, term, count(*) AS n FROM kept GROUP BY source, term),
+    t AS (SELECT source, sum(n) AS t FROM n GROUP BY source)
+    SELECT source, term, n AS count, round(n / t, 6) AS class_share,
+           round(n / (SELECT sum(n) FROM n), 6) AS corpus_share FROM n JOIN t USING (source)""",
+)
+def term_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shares = terms.shares(counted(spark, sf_dir, "source"), "source")
+    return rounded(shares, "class_share", "corpus_share")
+
+
 @register(
     "min_support_terms",
     f"WITH {A}, {KEPT} SELECT term, count(*) AS count FROM kept GROUP BY term HAVING count(*) >= 50",

@@ -62,6 +62,10 @@ def test_lift(articles, corpus, excluded, limit, low, least):
     counts = terms.term_counts(articles, ["cls"], rules=RULES)
     got = [tuple(r) for r in terms.relative_lift(counts, "cls", low, least, excluded, limit).collect()]
     assert got == want  # same order, and the same doubles: the arithmetic is the same
+    finer = terms.term_counts(articles, ["cls", "month"], rules=RULES)
+    common = terms.within_vocabulary(finer, terms.frequent_vocabulary(finer, low), "cls")
+    again = terms.relative_lift(finer, "cls", low, least, excluded, limit, common)
+    assert [tuple(r) for r in again.collect()] == want
 
 
 def test_only_unknown_class_counts_globally_but_is_not_listed(spark):
@@ -85,6 +89,11 @@ def test_divergence(articles, corpus, low, least):
     got = [tuple(r) for r in terms.vocabulary_divergence(counts, "cls", low, least).collect()]
     assert [g[:3] for g in got] == [w[:3] for w in want]
     assert [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-12)
+    finer = terms.term_counts(articles, ["cls", "month"], rules=RULES)
+    common = terms.within_vocabulary(finer, terms.frequent_vocabulary(finer, low), "cls")
+    again = terms.vocabulary_divergence(finer, "cls", low, least, common).collect()
+    assert [tuple(r)[:3] for r in again] == [w[:3] for w in want]
+    assert [r[3] for r in again] == pytest.approx([w[3] for w in want], abs=1e-12)
 
 
 def test_class_at_the_minimum_stays_and_below_it_goes(spark):

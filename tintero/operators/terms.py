@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tintero.config import TokenRules
 from tintero.functions import text
+from tintero.operators.joins import fits_broadcast
 
 
 def sum_emitted(
@@ -129,6 +130,24 @@ def allowed_terms(counts: DataFrame, min_global_count: int) -> DataFrame:
     return at_least(with_global_count(counts), "global_count", min_global_count)
 
 
+def frequent_vocabulary(counts: DataFrame, min_global_count: int) -> DataFrame:
+    """``(term, global_count)`` of the terms that reach the minimum."""
+    totals = counts.groupBy("term").agg(F.sum("count").cast("long").alias("global_count"))
+    return at_least(totals, "global_count", min_global_count)
+
+
+def within_vocabulary(counts: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
+    """``(key, term, global_count, count)`` of the terms in a stored ``vocabulary``.
+
+    Most distinct terms are rare.  With a vocabulary that can be broadcast (its
+    rows are counted) they are dropped where ``counts`` are read and never reach
+    the shuffle by class; a larger one is joined by term.
+    """
+    small = fits_broadcast(vocabulary)
+    kept = counts.join(F.broadcast(vocabulary) if small else vocabulary, "term")
+    return recount(kept, [key, "term", "global_count"])
+
+
 def with_totals(counts: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """Add ``class_total`` and ``corpus_total`` of ``counts`` to ``rows``.
 
@@ -158,15 +177,18 @@ def relative_lift(
     min_class_count: int,
     excluded=None,
     limit: int = 0,
+    frequent: DataFrame | None = None,
 ) -> DataFrame:
     """How over-represented each term is in a class.
 
     ``(key, term, regional_count, global_count, relative_ratio)``, where the ratio
     is the term's share of the class over its share of the corpus.  The global
     side covers everything, the excluded class and unclassified rows included.
-    ``limit`` keeps that many terms per class, 0 keeps all.
+    ``limit`` keeps that many terms per class, 0 keeps all.  ``frequent`` may bring
+    the result of :func:`within_vocabulary`; ``counts`` may then be finer.
     """
-    frequent = allowed_terms(counts, min_global_count)
+    if frequent is None:
+        frequent = allowed_terms(counts, min_global_count)
     rows = with_totals(counts, at_least(frequent, "count", min_class_count), key)
     if excluded is not None:
         rows = exclude_class(rows, key, excluded)
@@ -188,7 +210,11 @@ def relative_lift(
 
 
 def vocabulary_divergence(
-    counts: DataFrame, key: str, min_global_count: int, min_class_terms: int
+    counts: DataFrame,
+    key: str,
+    min_global_count: int,
+    min_class_terms: int,
+    frequent: DataFrame | None = None,
 ) -> DataFrame:
     """Kullback-Leibler divergence (nats) of each class's terms from the corpus.
 
@@ -198,12 +224,14 @@ def vocabulary_divergence(
         sum n/T * ln((n/T) / (g/G))  =  sum n*(ln n - ln g) / T  - ln T + ln G
 
     so one aggregate per class suffices, G is the sum of the class totals, and no
-    total has to be joined back to the terms.
+    total has to be joined back to the terms.  ``frequent`` may bring the result of
+    :func:`within_vocabulary`.
     """
+    if frequent is None:
+        frequent = allowed_terms(counts, min_global_count)
     n, g = F.col("count"), F.col("global_count")
     per_class = (
-        allowed_terms(counts, min_global_count)
-        .groupBy(key)
+        frequent.groupBy(key)
         .agg(
             F.sum("count").cast("long").alias("total_terms"),
             F.count("*").alias("vocabulary_size"),

@@ -50,22 +50,26 @@ def analytics_frames(
     base = materialize(base_counts(spread_small(fact, "article_id"), config), "term-counts")
 
     monthly = terms.top_terms(terms.recount(base, ["year_month", "term"]), config.top_k)
-
+    vocabulary = materialize(
+        terms.frequent_vocabulary(base, config.min_global_count), "vocabulary"
+    )
     regional = terms.relative_lift(
-        terms.recount(base, ["region_id", "term"]),
+        base,
         "region_id",
         config.min_global_count,
         config.min_regional_count,
         None if config.include_unknown_region else config.unknown_region,
         config.region_limit,
+        terms.within_vocabulary(base, vocabulary, "region_id"),
     )
     region_names = store.read_dimension(spark, warehouse, "dim_region", "region_key", "region_name")
 
     divergence = terms.vocabulary_divergence(
-        terms.recount(base, ["source_id", "term"]),
+        base,
         "source_id",
         config.min_global_count,
         config.min_source_terms,
+        terms.within_vocabulary(base, vocabulary, "source_id"),
     )
     source_names = store.read_dimension(spark, warehouse, "dim_source", "source_id", "source_name")
 

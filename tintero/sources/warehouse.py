@@ -38,8 +38,14 @@ def read_dimension(
     return table.groupBy(key).agg(F.max_by(value, position).alias(value))
 
 
-def write_fact(df: DataFrame, warehouse: str, name: str = FACT, by: Sequence[str] = PARTITIONS) -> None:
-    """Write the fact, replacing exactly the months it contains.
+def write_fact(
+    df: DataFrame,
+    warehouse: str,
+    name: str = FACT,
+    by: Sequence[str] = PARTITIONS,
+    only_own_partitions: bool = False,
+) -> None:
+    """Replace the fact, or with ``only_own_partitions`` just the months ``df`` contains.
 
     ``rebalance`` brings each month together for few, large files, and lets AQE
     split the months that are too large for one task.
@@ -47,7 +53,7 @@ def write_fact(df: DataFrame, warehouse: str, name: str = FACT, by: Sequence[str
     (
         df.hint("rebalance", *by)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if only_own_partitions else "static")
         .partitionBy(*by)
         .parquet(f"{warehouse}/{name}")
     )

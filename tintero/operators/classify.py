@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
-from itertools import groupby
+from itertools import combinations, groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +40,16 @@ def can_overlap(a: str, b: str) -> bool:
 
 
 def classes_overlap(aliases: Aliases) -> bool:
-    flat = [(k, a) for k, names in aliases.items() for a in names]
+    """Whether aliases of two classes can overlap; compares only aliases with a word in common."""
+    sharing: dict[str, list[tuple[int, str]]] = defaultdict(list)
+    for key, names in aliases.items():
+        for name in names:
+            for part in set(re.findall(r"\w+|[^\w\s]", name)):
+                sharing[part].append((key, name))
     return any(
-        ka != kb and can_overlap(a, b) for i, (ka, a) in enumerate(flat) for kb, b in flat[i + 1 :]
+        ka != kb and can_overlap(a, b)
+        for group in sharing.values()
+        for (ka, a), (kb, b) in combinations(group, 2)
     )
 
 

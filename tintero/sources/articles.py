@@ -12,7 +12,8 @@ from tintero.sources.split_csv import csv_records
 
 ARTICLE_COLUMNS = ("article_id", "title", "body", "source", "publish_date")
 _CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
-_POSITION_BITS = 44  # room for files of 16 TB, and for half a million of them
+_POSITION_BITS = 44  # room for files of 16 TB
+MAX_FILES = 1 << (63 - _POSITION_BITS)  # half a million, which also bounds the broadcast list
 #: files above this size are read by several tasks each
 SPLIT_ABOVE_BYTES = 512 * 1024 * 1024
 
@@ -36,6 +37,8 @@ def has_large_file(spark: SparkSession, path: str | list[str], limit: int) -> bo
 
 def _file_ranks(spark: SparkSession, files: list[str]) -> DataFrame:
     """Position of each file by name: one row per file, as listed by the driver already."""
+    if len(files) > MAX_FILES:
+        raise ValueError(f"{len(files)} files; land them in batches of at most {MAX_FILES}")
     rows = [(_plain(f), i) for i, f in enumerate(sorted(files))]
     return F.broadcast(spark.createDataFrame(rows, "ranked string, file_rank long"))
 

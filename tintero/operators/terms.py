@@ -158,7 +158,7 @@ def with_totals(counts: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     totals = class_totals(counts, key, "class_total").withColumnRenamed(key, "_class")
     corpus = totals.agg(F.sum("class_total").alias("corpus_total"))
     same = F.col(key).eqNullSafe(F.col("_class"))
-    return rows.join(totals, same).drop("_class").crossJoin(F.broadcast(corpus))  # one row
+    return rows.join(totals, same).drop("_class").withColumn("corpus_total", corpus.scalar())
 
 
 def shares(counts: DataFrame, key: str) -> DataFrame:
@@ -240,10 +240,9 @@ def vocabulary_divergence(
     )
     corpus = per_class.agg(F.sum("total_terms").alias("_corpus"))
     total = F.col("total_terms")
-    divergence = F.col("_weighted") / total - F.ln(total) + F.ln(F.col("_corpus"))
+    divergence = F.col("_weighted") / total - F.ln(total) + F.ln(corpus.scalar())
     return (
-        per_class.crossJoin(F.broadcast(corpus))  # one row
-        .where(total >= min_class_terms)
+        per_class.where(total >= min_class_terms)
         .where(F.col(key).isNotNull())
         .select(key, "total_terms", "vocabulary_size", divergence.alias("kl_divergence"))
         .orderBy(F.desc("kl_divergence"), key)

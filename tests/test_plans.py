@@ -48,8 +48,7 @@ def text_scans(plan):
 
 
 def test_daily_counts_read_no_text(stored):
-    days = stored.select(dates.day_of(F.col("date_id")).alias("day"))
-    plan = executed(series.daily_peaks(days, "day"))
+    plan = executed(series.peaks_of_counts(series.counts_of_day_keys(stored), 7, 1.8, 50.0))
     assert "ReadSchema: struct<date_id:int>" in plan and "body" not in plan
 
 

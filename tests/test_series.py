@@ -47,3 +47,8 @@ def test_every_series_has_its_own_calendar(spark):
     for key, days in (("a", a), ("b", b)):
         mine = [tuple(r)[1:] for r in got if r["k"] == key]
         assert mine == model.peaks(days, 3, 1.1, 0.5)
+
+
+def test_day_keys_are_counted_like_dates(spark):
+    keys = spark.createDataFrame([(20240229,), (20240229,), (20240301,), (20230230,), (None,)], "date_id int")
+    assert rows(series.counts_of_day_keys(keys)) == [(date(2024, 2, 29), 2), (date(2024, 3, 1), 1)]

@@ -4,6 +4,7 @@ import random
 import pandas as pd
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tintero import lexicon
 from tintero.session import materialize, shared_folder
@@ -149,3 +150,22 @@ def test_materialize_uses_the_shared_folder(spark):
     df = materialize(spark.range(3), "numbers")
     assert rows(df) == [(0,), (1,), (2,)]
     assert all(f.startswith("file:") and "/shared" in f for f in df.inputFiles())
+
+
+def test_month_with_most_rows_is_written_by_several_tasks(spark):
+    path = f"{shared_folder(spark)}/hot"
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    keep = spark.conf.get(size)
+    month = F.when(F.col("id") % 10 == 0, F.lit("01")).otherwise(F.lit("02"))
+    fact = spark.range(0, 40_000, 1, 8).select(
+        F.col("id").alias("article_id"), F.sha2(F.col("id").cast("string"), 512).alias("body"),
+        F.lit(2023).alias("year"), month.alias("month"),
+    )
+    try:
+        spark.conf.set(size, "400k")
+        warehouse.write_fact(fact, path)
+    finally:
+        spark.conf.set(size, keep)
+    files = [f.rsplit("/", 2)[1] for f in spark.read.parquet(f"{path}/fact_news").inputFiles()]
+    assert files.count("month=02") >= 4 and files.count("month=01") <= 2
+    assert warehouse.scan_fact(spark, path).count() == 40_000

@@ -51,6 +51,13 @@ def test_top_terms(articles, corpus, k):
     assert got == want
 
 
+def test_top_terms_beyond_the_group_limit(articles, corpus, monkeypatch):
+    monkeypatch.setattr(terms, "GROUP_LIMIT_THRESHOLD", 2)
+    want = model.top_terms(model.counts(corpus, lambda r: r["month"], RULES), 9)
+    counts = terms.term_counts(articles, ["month"], rules=RULES)
+    assert [tuple(r) for r in terms.top_terms(counts, 9, "month").collect()] == want
+
+
 def test_equal_counts_rank_alphabetically(spark):
     counts = spark.createDataFrame([("m", "b", 2), ("m", "a", 2), ("m", "c", 3)], "year_month string, term string, count bigint")
     assert [r["term"] for r in terms.top_terms(counts, 2).collect()] == ["c", "a"]

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tintero.functions.dates import day_of
 from tintero.operators.dimensions import calendar_days
 
 
@@ -46,6 +47,14 @@ def flag_peaks(averaged: DataFrame, factor: float, min_delta: float) -> DataFram
     return averaged.withColumns({"delta": count - mean, "is_peak": peak})
 
 
+def peaks_of_counts(
+    counts: DataFrame, window: int, factor: float, min_delta: float, keys: Sequence[str] = ()
+) -> DataFrame:
+    """:func:`daily_peaks` from ``(keys..., date, article_count)``."""
+    dense = dense_daily_counts(counts, keys)
+    return flag_peaks(moving_average(dense, window, keys), factor, min_delta).orderBy(*keys, "date")
+
+
 def daily_peaks(
     df: DataFrame,
     day: str,
@@ -55,8 +64,14 @@ def daily_peaks(
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """``(keys..., date, article_count, moving_average, delta, is_peak)`` for every calendar day."""
-    dense = dense_daily_counts(daily_counts(df, day, keys), keys)
-    return flag_peaks(moving_average(dense, window, keys), factor, min_delta).orderBy(*keys, "date")
+    return peaks_of_counts(daily_counts(df, day, keys), window, factor, min_delta, keys)
+
+
+def counts_of_day_keys(df: DataFrame, date_id: str = "date_id") -> DataFrame:
+    """:func:`daily_counts` of integer day keys, which become dates only after counting."""
+    per_key = df.groupBy(date_id).agg(F.count("*").alias("article_count"))
+    days = per_key.select(day_of(F.col(date_id)).alias("date"), "article_count")
+    return days.where("date is not null")
 
 
 def peaks_only(series: DataFrame) -> DataFrame:

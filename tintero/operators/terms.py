@@ -79,17 +79,30 @@ def exclude_class(df: DataFrame, column: str, excluded) -> DataFrame:
     return df.where(F.col(column) != excluded)
 
 
+#: Spark cuts ranks before the shuffle up to spark.sql.optimizer.windowGroupLimitThreshold
+GROUP_LIMIT_THRESHOLD = 1000
+_SALTS = 64
+
+
 def top_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None
 ) -> DataFrame:
     """First ``k`` rows of each group.
 
     Each task ranks and cuts before the shuffle, so a group sends at most ``k``
-    rows per task whatever its size.
+    rows per task whatever its size.  For a ``k`` above Spark's threshold for that,
+    each group is first cut to ``k`` rows in each of several hashed parts.
     """
     name = rank or "_rank"
-    window = Window.partitionBy(*group).orderBy(*order)
-    ranked = df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
+
+    def first_k(rows: DataFrame, *within: str) -> DataFrame:
+        window = Window.partitionBy(*within).orderBy(*order)
+        return rows.withColumn(name, F.row_number().over(window)).where(F.col(name) <= k)
+
+    if k > GROUP_LIMIT_THRESHOLD:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)))
+        df = first_k(salted, *group, "_salt").drop(name, "_salt")
+    ranked = first_k(df, *group)
     return ranked if rank else ranked.drop(name)
 
 

@@ -73,7 +73,6 @@ def analytics_frames(
     )
     source_names = store.read_dimension(spark, warehouse, "dim_source", "source_id", "source_name")
 
-    days = fact.select(dates.day_of(F.col("date_id")).alias("day"))
     return {
         "top_terms_monthly": monthly,
         "regional_word_distribution": add_names(
@@ -83,8 +82,11 @@ def analytics_frames(
             divergence, source_names, "source_id", "source_id", "source_name", "source_name",
             "source_id",
         ),
-        "daily_peaks": series.daily_peaks(
-            days, "day", config.peak_window, config.peak_factor, config.peak_min_delta
+        "daily_peaks": series.peaks_of_counts(
+            series.counts_of_day_keys(fact),
+            config.peak_window,
+            config.peak_factor,
+            config.peak_min_delta,
         ),
     }
 

@@ -103,6 +103,15 @@ def test_divergence(articles, corpus, low, least):
     assert [r[3] for r in again] == pytest.approx([w[3] for w in want], abs=1e-12)
 
 
+def test_vocabulary_too_large_to_broadcast(articles):
+    counts = terms.term_counts(articles, ["cls", "month"], rules=RULES)
+    words = terms.frequent_vocabulary(counts, 5)
+    joined = [terms.within_vocabulary(counts, words, "cls", n) for n in (0, 10**6)]
+    assert rows(joined[0]) == rows(joined[1]) != []
+    direct = terms.allowed_terms(terms.recount(counts, ["cls", "term"]), 5)
+    assert rows(direct.select("cls", "term", "global_count", "count")) == rows(joined[0])
+
+
 def test_class_at_the_minimum_stays_and_below_it_goes(spark):
     counts = spark.createDataFrame([(1, "aa", 10), (2, "aa", 9)], "cls int, term string, count bigint")
     got = terms.vocabulary_divergence(counts, "cls", 1, 10).collect()

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tintero.config import TokenRules
 from tintero.functions import text
-from tintero.operators.joins import fits_broadcast
+from tintero.operators.joins import BROADCAST_ROWS, fits_broadcast
 
 
 def sum_emitted(
@@ -149,14 +149,16 @@ def frequent_vocabulary(counts: DataFrame, min_global_count: int) -> DataFrame:
     return at_least(totals, "global_count", min_global_count)
 
 
-def within_vocabulary(counts: DataFrame, vocabulary: DataFrame, key: str) -> DataFrame:
+def within_vocabulary(
+    counts: DataFrame, vocabulary: DataFrame, key: str, max_broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """``(key, term, global_count, count)`` of the terms in a stored ``vocabulary``.
 
     Most distinct terms are rare.  With a vocabulary that can be broadcast (its
     rows are counted) they are dropped where ``counts`` are read and never reach
     the shuffle by class; a larger one is joined by term.
     """
-    small = fits_broadcast(vocabulary)
+    small = fits_broadcast(vocabulary, max_broadcast_rows)
     kept = counts.join(F.broadcast(vocabulary) if small else vocabulary, "term")
     return recount(kept, [key, "term", "global_count"])
 

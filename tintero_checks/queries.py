@@ -1031,6 +1031,16 @@ def warehouse_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_columns(warehouse.scan_fact(spark, _built(spark, sf_dir), facts.FACT_COLUMNS))
 
 
+@register(
+    "warehouse_job_from_csv",
+    f"WITH {_CLEAN}, {sql.fact_of('clean', MARKERS_APART, UNKNOWN)} {_FACT_SELECT}",
+)
+def warehouse_job_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warehouse")
+    build_warehouse(spark, _write_article_csv(spark, sf_dir), path, WAREHOUSE)
+    return _fact_columns(warehouse.scan_fact(spark, path, facts.FACT_COLUMNS))
+
+
 @register(
     "warehouse_job_report",
     "SELECT c AS \"check\", true AS passed, CAST(0 AS BIGINT) AS violations FROM (VALUES "

@@ -73,8 +73,13 @@ def _hits(expr: str, words: list[str]) -> str:
     return rf"len(regexp_extract_all({expr}, '\b(?:{'|'.join(words)})\b'))"
 
 
-def voted(aliases: dict[int, list[str]], unknown: int, title_first: bool = False) -> str:
-    """CTE ``voted(article_id, region_id)`` over ``articles``."""
+def voted(
+    aliases: dict[int, list[str]],
+    unknown: int,
+    title_first: bool = False,
+    relation: str = "articles",
+) -> str:
+    """CTE ``voted(article_id, region_id)`` over articles."""
     ballots = " UNION ALL ".join(
         f"SELECT article_id, {k} AS id, {_hits('t', w)} AS in_title, {_hits('b', w)} AS in_body FROM folded"
         for k, w in aliases.items()
@@ -82,7 +87,7 @@ def voted(aliases: dict[int, list[str]], unknown: int, title_first: bool = False
     tie = "in_title DESC, " if title_first else ""
     return f"""folded AS (
   SELECT article_id, {_plain_words(fold("title"))} AS t, {_plain_words(fold("body"))} AS b
-  FROM articles),
+  FROM {relation}),
 ballots AS ({ballots}),
 ranked AS (
   SELECT article_id, id, 3 * in_title + in_body AS score,
@@ -101,9 +106,9 @@ def sources(relation: str = "articles") -> str:
   FROM {relation} GROUP BY source)"""
 
 
-def fact(aliases: dict[int, list[str]], unknown: int) -> str:
-    """CTEs up to ``fact`` (the warehouse's fact columns plus lang and publish_date)."""
-    return f"""{ARTICLES}, {voted(aliases, unknown)}, {sources()},
+def fact_of(relation: str, aliases: dict[int, list[str]], unknown: int, also: str = "") -> str:
+    """CTEs up to ``fact``: the warehouse's fact columns of the articles in ``relation``."""
+    return f"""{voted(aliases, unknown, relation=relation)}, {sources(relation)},
 fact AS (
   SELECT a.article_id, a.title, a.body,
          {spaces(fold("a.title"))} AS word_count_title,
@@ -111,13 +116,18 @@ fact AS (
          CAST(strftime(publish_date, '%Y%m%d') AS INTEGER) AS date_id,
          s.source_id, v.region_id,
          CAST(year(publish_date) AS INTEGER) AS year,
-         strftime(publish_date, '%m') AS month,
-         a.source, a.lang, a.publish_date
-  FROM articles a
-  JOIN voted v ON a.article_id = v.article_id
+         strftime(publish_date, '%m') AS month{also}
+  FROM {relation} a
+  JOIN voted v ON a.article_id IS NOT DISTINCT FROM v.article_id
   LEFT JOIN dim_source s ON a.source = s.source_name)"""
 
 
+def fact(aliases: dict[int, list[str]], unknown: int) -> str:
+    """CTEs up to ``fact`` over ``articles``, with source, lang and publish_date."""
+    also = ", a.source, a.lang, a.publish_date"
+    return f"{ARTICLES}, {fact_of('articles', aliases, unknown, also)}"
+
+
 def lift(counts: str, key: str, min_global: int, min_class: int, excluded: str | None, limit: int) -> str:
     """CTE ``lift`` from a relation ``counts(key, term, n)``."""
     keep = f"WHERE {key} <> {excluded}" if excluded else ""

@@ -21,36 +21,44 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import repeat
 from uuid import uuid4
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tintero.llm.common import ship_package, text_or_empty
 from tintero.session import materialize
 
-#: The public pattern of byte-level BPE vocabularies: contractions, letters, digits, others, white space.
-WORDS = regex.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
-    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-)
+#: The public pattern of byte-level BPE vocabularies (contractions, letters, digits, others, white space)
+#: in the standard library's classes, for texts without the characters that these class otherwise.
+WORDS = re.compile(r" ?[^\W\d_]+| ?\d+|'s|'t|'re|'ve|'m|'ll|'d| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 LEXICON_WORDS = 100_000
 LONGEST_WORD = 64
-_CACHED_WORDS = 300_000
-_FLUSH_WORDS = 200_000
+_CACHED_WORDS = 100_000
+_FLUSH_WORDS = 100_000
+#: Words of so many bytes are merged by looking at all pairs each time, longer ones with a heap.
+_SHORT = 40
+#: Rows that are encoded before their results are passed on.
+_ROWS = 200
+_NO_RULE, _MERGED = 1 << 62, (1 << 32) - 1
 
 
 @lru_cache(maxsize=1)
-def unassigned() -> re.Pattern:
-    """Characters that Unicode, as Python has it, doesn't assign: libraries may class them differently."""
-    codes = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)], np.int8)
-    edges = np.flatnonzero(np.diff(np.r_[0, codes, 0])).reshape(-1, 2)
-    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.tolist()) + "]")
+def unusual() -> frozenset[str]:
+    """Characters that the standard library classes otherwise than Unicode's letters, digits and white space, or not at all."""
+
+    def odd(c: str) -> bool:
+        kind = unicodedata.category(c)
+        return kind == "Cn" or c.isalnum() != (kind[0] == "L" or kind == "Nd") or c in "\x1c\x1d\x1e\x1f"
+
+    return frozenset(c for c in map(chr, range(0x110000)) if odd(c))
 
 
 def byte_letters() -> list[str]:
@@ -72,10 +80,10 @@ class Vocabulary:
         of_letter = {c: b for b, c in enumerate(letters)}
         ids = data["model"]["vocab"]
         self.of_byte = [ids[letters[b]] for b in range(256)]
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.pairs: dict[tuple[int, int], int] = {}  # rank, then the merged id in the low bits
         for rank, pair in enumerate(data["model"]["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.pairs.setdefault((ids[left], ids[right]), (rank, ids[left + right]))
+            self.pairs.setdefault((ids[left], ids[right]), rank << 32 | ids[left + right])
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         size = max([*ids.values(), *self.special.values()]) + 1
         self.bytes = [b""] * size
@@ -83,35 +91,38 @@ class Vocabulary:
             self.bytes[number] = bytes(of_letter[c] for c in token)
         for token, number in self.special.items():
             self.bytes[number] = token.encode()
-        found = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
-        self.cut = regex.compile(f"({found})") if found else None
+        found = "|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True))
+        self.cut = re.compile(f"({found})") if found else None
 
     def merge(self, word: bytes) -> list[int]:
         """The word's ids: the lowest-ranked pair is merged first, the leftmost of equals."""
         ids: list[int] = [self.of_byte[b] for b in word]
-        if len(ids) < 2:
-            return ids
-        pairs, after = self.pairs, list(range(1, len(ids) + 1))
-        before = list(range(-1, len(ids) - 1))
-        heap = []
-        for i in range(len(ids) - 1):
-            if rule := pairs.get((ids[i], ids[i + 1])):
-                heap.append((rule[0], i, rule[1], ids[i], ids[i + 1]))
+        rule_of = self.pairs.get
+        while len(ids) <= _SHORT:
+            rules = list(map(rule_of, zip(ids, ids[1:]), repeat(_NO_RULE)))
+            rule = min(rules, default=_NO_RULE)
+            if rule == _NO_RULE:
+                return ids
+            at = rules.index(rule)
+            ids[at : at + 2] = [rule & _MERGED]
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
+        heap = [(r, i, *pair) for i, pair in enumerate(zip(ids, ids[1:])) if (r := rule_of(pair)) is not None]
         heapq.heapify(heap)
         end = len(ids)
         while heap:
-            _, i, merged, left, right = heapq.heappop(heap)
+            rule, i, left, right = heapq.heappop(heap)
             j = after[i]
             if ids[i] != left or j >= end or ids[j] != right:
                 continue
+            merged = rule & _MERGED
             ids[i], ids[j] = merged, -1
             after[i] = k = after[j]
             if k < end:
                 before[k] = i
-                if rule := pairs.get((merged, ids[k])):
-                    heapq.heappush(heap, (rule[0], i, rule[1], merged, ids[k]))
-            if (h := before[i]) >= 0 and (rule := pairs.get((ids[h], merged))):
-                heapq.heappush(heap, (rule[0], h, rule[1], ids[h], merged))
+                if (rule := rule_of((merged, ids[k]))) is not None:
+                    heapq.heappush(heap, (rule, i, merged, ids[k]))
+            if (h := before[i]) >= 0 and (rule := rule_of((ids[h], merged))) is not None:
+                heapq.heappush(heap, (rule, h, ids[h], merged))
         return [i for i in ids if i >= 0]
 
     def parts(self, text: str) -> Iterator[tuple[bool, str]]:
@@ -125,7 +136,7 @@ class Vocabulary:
 
     def words(self, text: str) -> list[str]:
         """The words that merges stay within; rare characters are left to the library's own tables."""
-        if text.isascii() or not unassigned().search(text):
+        if unusual().isdisjoint(set(text)):
             return WORDS.findall(text)
         if self.splitter is None:
             self.splitter = Tokenizer.from_file(self.path).pre_tokenizer
@@ -244,7 +255,7 @@ class Lexicon:
         return self.ids[self.firsts[place] : self.firsts[place + 1]].tolist()
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _lexicon(name: str) -> Lexicon:
     return Lexicon(SparkFiles.get(name))
 
@@ -334,7 +345,7 @@ class _Coder(dict):
         return b"".join(out)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _coder(path: str, name: str) -> _Coder:
     return _Coder(vocabulary(path), _lexicon(name))
 
@@ -361,12 +372,17 @@ def encode_decode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS
         file.write(build_lexicon(docs, path, lexicon_words))
     spark.sparkContext.addFile(local)
 
-    @F.pandas_udf("struct<ids: binary, decoded: string>")
-    def code(texts: pd.Series) -> pd.DataFrame:
-        coder = _coder(path, name)
-        ids = [coder.encode(t) for t in texts]
-        return pd.DataFrame({"ids": ids, "decoded": [decode(coder.vocab, i) for i in ids]})
+    kept = docs.drop("ids", "decoded")
+    kind = T.StructType([*kept.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
 
-    kept = docs.drop("ids", "decoded", "_coded")
-    coded = kept.withColumn("_coded", code(text_or_empty()))
-    return coded.select(*kept.columns, "_coded.ids", "_coded.decoded")
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(path, name)
+        for batch in batches:
+            for start in range(0, batch.num_rows, _ROWS):
+                rows = batch.slice(start, _ROWS)
+                ids = [coder.encode(t or "") for t in rows.column("text").to_pylist()]
+                decoded = [decode(coder.vocab, i) for i in ids]
+                columns = [*rows.columns, pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, "ids", "decoded"])
+
+    return kept.mapInArrow(code, kind)

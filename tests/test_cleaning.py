@@ -38,6 +38,29 @@ def test_keep_last_narrow_beyond_its_broadcast_limit(spark):
     assert rows(small) == rows(cleaning.keep_last_narrow(raw, "article_id", "ingest_seq"))
 
 
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_both_forms_agree_on_ties_and_null_orders(spark, limit):
+    found = [(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, None, "d"), (2, None, "e"), (3, None, "f"), (3, 1, "g"),
+             (4, 2, "h"), (4, 2, "h"), (None, 1, "i"), (None, None, "j"), (5, 1, "k")]
+    df = spark.createDataFrame(found, "k bigint, seq bigint, text string")
+    narrow = rows(cleaning.keep_last_narrow(df, "k", "seq", limit))
+    assert narrow == rows(cleaning.keep_last(df.repartition(3, "text"), ["k"], ["seq"]))
+    assert [r[0] for r in narrow] == [1, 2, 3, 4, 5, None]
+    assert (3, 1, "g") in narrow and (None, 1, "i") in narrow
+
+
+def test_a_zone_does_not_shift_the_day(spark):
+    df = spark.createDataFrame([("2023-01-05T23:30:00-03:00",), ("2023-01-05 00:10:00+14:00",)], "d string")
+    got = df.select(dates.lenient_date(F.col("d")).cast("string")).collect()
+    assert [r[0] for r in got] == ["2023-01-05"] * 2
+
+
+def test_date_formats_reach_the_articles(spark):
+    raw = spark.createDataFrame([(1, "t", "b", "s", "05/01/2023", 1), (2, "t", "b", "s", "20230106", 2)], SCHEMA)
+    got = cleaning.clean_articles(raw, date_formats=("dd/MM/yyyy", "yyyyMMdd"))
+    assert sorted(str(r["publish_date"]) for r in got.collect()) == ["2023-01-05", "2023-01-06"]
+
+
 def test_one_key_holding_most_rows(spark):
     raw = spark.range(3000).select(
         F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("seq")

@@ -94,10 +94,18 @@ def test_split_files_give_the_same_articles(spark, tmp_path, tiny_splits, end):
     assert [(str(r[0]), *r[1:-1]) for r in split] == want
 
 
-def test_split_mode_starts_with_the_file_size(spark, tmp_path):
+@pytest.mark.parametrize("split", [False, True])
+def test_a_file_with_another_header_is_an_error(spark, tmp_path, split):
     write(tmp_path / "a.csv", LINES[:1])
-    assert files.has_large_file(spark, str(tmp_path), 20)
-    assert not files.has_large_file(spark, str(tmp_path), 20_000)
+    write(tmp_path / "b.csv", LINES[:1])
+    assert files.read_article_csv(spark, str(tmp_path), split_files=split).count() == 2
+    text = (tmp_path / "b.csv").read_text()
+    header, rest = text.split("\n", 1)
+    names = header.split(",")
+    names[1], names[3] = names[3], names[1]
+    (tmp_path / "b.csv").write_text(",".join(names) + "\n" + rest)
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_article_csv(spark, str(tmp_path), split_files=split).collect()
 
 
 def test_malformed_id_fails_instead_of_vanishing(spark, tmp_path):

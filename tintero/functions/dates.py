@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ISO_DAY = r"^\s*\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
+_ISO_DAY = r"^\s*(\d{4}-\d{1,2}-\d{1,2})([ T].*)?$"
 
 
 def lenient_date(c: Column, formats: tuple[str, ...] = ()) -> Column:
-    """Day of an ISO date (a time of day is dropped) or of one of ``formats``; else null."""
+    """Day of an ISO date, as written, or of one of ``formats``; else null.
+
+    A time of day and a zone after an ISO date are dropped, so neither shifts the day.
+    """
     text = c.cast("string")
-    parsed = F.when(F.rlike(text, F.lit(_ISO_DAY)), F.try_to_timestamp(text))
+    parsed = F.when(F.rlike(text, F.lit(_ISO_DAY)), F.try_to_timestamp(F.regexp_extract(text, _ISO_DAY, 1)))
     others = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
     return F.coalesce(parsed, *others).cast("date") if others else parsed.cast("date")
 

@@ -16,10 +16,13 @@ from tintero.session import materialize
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of every key by ``order``; null keys form one group.
 
-    ``row_number() = 1`` is pruned before the shuffle as well (WindowGroupLimit),
-    so however many rows share a key, a map task passes on only one of them.
+    A null order comes first.  Of rows that tie, a hash of the whole row decides,
+    so the result doesn't depend on the layout.  ``row_number() = 1`` is pruned
+    before the shuffle as well (WindowGroupLimit), so however many rows share a
+    key, a map task passes on only one of them.
     """
-    window = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
+    last_first = [*[F.col(c).desc_nulls_last() for c in order], F.xxhash64(*df.columns).desc()]
+    window = Window.partitionBy(*keys).orderBy(*last_first)
     return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
 
 
@@ -29,9 +32,9 @@ def keep_last_narrow(
     """:func:`keep_last` for wide rows with few repeated keys, without shuffling the rows.
 
     A narrow aggregate finds the repeated keys and stores them.  If there are few
-    (counted), they are broadcast and older copies are dropped where they are read;
-    otherwise the window form is used.  ``df`` should be a stored table with a
-    unique ``order``.
+    (counted) and no two rows tie for the last place, they are broadcast and older
+    copies are dropped where they are read; otherwise the window form is used.
+    Both give the same rows.  ``df`` should be a stored table.
     """
     repeated = materialize(
         df.groupBy(F.col(key).alias("_key"))
@@ -42,8 +45,12 @@ def keep_last_narrow(
     )
     if not fits_broadcast(repeated, max_broadcast_rows):
         return keep_last(df, [key], [order])
-    older = F.col(key).eqNullSafe(F.col("_key")) & (F.col(order) < F.col("_last"))
-    return df.join(F.broadcast(repeated), older, "left_anti")
+    same_key = F.col(key).eqNullSafe(F.col("_key"))
+    is_last = F.col(order).eqNullSafe(F.col("_last"))
+    last_places = df.select(key, order).join(F.broadcast(repeated), same_key & is_last)
+    if not last_places.groupBy("_key").count().where("count > 1").isEmpty():
+        return keep_last(df, [key], [order])
+    return df.join(F.broadcast(repeated), same_key & ~is_last, "left_anti")
 
 
 def fill_missing(df: DataFrame, placeholders: Mapping[str, str] = lexicon.PLACEHOLDERS) -> DataFrame:
@@ -63,6 +70,7 @@ def clean_articles(
     order: str = "ingest_seq",
     placeholders: Mapping[str, str] = lexicon.PLACEHOLDERS,
     narrow: bool = True,
+    date_formats: tuple[str, ...] = (),
 ) -> DataFrame:
     """Keep the last copy of each article, fill gaps, keep dated articles.
 
@@ -70,7 +78,7 @@ def clean_articles(
     date disappears even if an earlier copy had one.
     """
     last = keep_last_narrow(raw, key, order) if narrow else keep_last(raw, [key], [order])
-    return dated_only(fill_missing(last, placeholders))
+    return dated_only(fill_missing(last, placeholders), formats=date_formats)
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -34,7 +34,9 @@ def build_warehouse(
     else:
         files = read_article_csv(spark, articles, id_type=config.id_type)
         raw = land_articles(files, scratch_path(spark, "landed"))
-    clean = clean_articles(spread_small(raw, "ingest_seq"), placeholders=config.placeholders)
+    clean = clean_articles(
+        spread_small(raw, "ingest_seq"), placeholders=config.placeholders, date_formats=config.date_formats
+    )
 
     dims = {
         "dim_date": dimensions.date_dimension(clean),

@@ -11,12 +11,9 @@ from tintero import lexicon
 from tintero.sources.split_csv import csv_records
 
 ARTICLE_COLUMNS = ("article_id", "title", "body", "source", "publish_date")
-_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
-_POSITION_BITS = 44  # room for files of 16 TB
-MAX_FILES = 1 << (63 - _POSITION_BITS)  # half a million, which also bounds the broadcast list
-#: larger files are read by several tasks each, which takes about three times the
-#: work and a shuffle; one task reads a file of this size in about half a minute
-SPLIT_ABOVE_BYTES = 4 * 1024**3
+_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "enforceSchema": "false"}
+#: more files than this are numbered by a shuffled join instead of a broadcast one
+BROADCAST_FILES = 100_000
 
 
 def na_to_null(c: Column, tokens: Sequence[str] = lexicon.NA_TOKENS) -> Column:
@@ -30,18 +27,11 @@ def strict_cast(c: Column, type_name: str) -> Column:
     return F.when(c.isNotNull() & cast.isNull(), bad).otherwise(cast)
 
 
-def has_large_file(spark: SparkSession, path: str | list[str], limit: int) -> bool:
-    """Whether a file is larger than ``limit``; looks at sizes only."""
-    sizes = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
-    return sizes is not None and sizes > limit
-
-
 def _file_ranks(spark: SparkSession, files: list[str]) -> DataFrame:
     """Position of each file by name: one row per file, as listed by the driver already."""
-    if len(files) > MAX_FILES:
-        raise ValueError(f"{len(files)} files; land them in batches of at most {MAX_FILES}")
     rows = [(_plain(f), i) for i, f in enumerate(sorted(files))]
-    return F.broadcast(spark.createDataFrame(rows, "ranked string, file_rank long"))
+    ranks = spark.createDataFrame(rows, "ranked string, file_rank long")
+    return F.broadcast(ranks) if len(files) <= BROADCAST_FILES else ranks
 
 
 def _plain(uri: str) -> str:
@@ -56,24 +46,26 @@ def read_article_csv(
     columns: Sequence[str] = ARTICLE_COLUMNS,
     id_type: str = "bigint",
     na_tokens: Sequence[str] = lexicon.NA_TOKENS,
-    split_files: bool | None = None,
+    split_files: bool = False,
 ) -> DataFrame:
     """Article files with a header, quoted multi-line fields and doubled quotes.
 
     Adds ``ingest_seq``, which follows (file name, place in the file).  One task
-    reads one file, unless a file is larger than ``SPLIT_ABOVE_BYTES``, or
-    ``split_files`` says so: then see :mod:`tintero.sources.split_csv`.  All files
-    have the same header.  In files with CRLF line ends, line breaks inside
-    fields may arrive as LF.
+    reads one file; with ``split_files`` several tasks read a large one, which
+    holds for files that quote as RFC 4180 says (see
+    :mod:`tintero.sources.split_csv`).  The choice is the caller's and doesn't
+    depend on sizes.  A file whose header differs from the first one's is an
+    error.  In files with CRLF line ends, line breaks inside fields may arrive
+    as LF.
     """
     whole_files = spark.read.options(**_CSV).csv(path)  # reads the header only
-    ranks = _file_ranks(spark, whole_files.inputFiles())
-    if split_files is None:
-        split_files = has_large_file(spark, path, SPLIT_ABOVE_BYTES)
+    files = whole_files.inputFiles()
+    ranks = _file_ranks(spark, files)
+    position_bits = 63 - max(1, (len(files) - 1).bit_length())  # half a million files leave room for 16 TB each
     if split_files:
         names = ", ".join(f"`{c}` string" for c in whole_files.columns)
         record = F.from_csv("text", names, _CSV | {"header": "false"})
-        placed = csv_records(spark, path).select(record.alias("r"), "file", "position")
+        placed = csv_records(spark, path, whole_files.columns).select(record.alias("r"), "file", "position")
         placed = placed.select("r.*", "file", "position")
     else:
         in_partition = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
@@ -81,7 +73,7 @@ def read_article_csv(
             "*", F.col("_metadata.file_path").alias("file"), in_partition.alias("position")
         )
     plain = F.regexp_replace("file", "^file:/+", "file:/")
-    sequence = F.shiftleft("file_rank", _POSITION_BITS) + F.col("position")
+    sequence = F.shiftleft("file_rank", position_bits) + F.col("position")
     typed = [
         strict_cast(na_to_null(F.col(c), na_tokens), id_type).alias(c)
         if c == "article_id"

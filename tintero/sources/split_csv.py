@@ -9,7 +9,9 @@ Holds for files that quote as RFC 4180 says.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tintero.session import materialize
@@ -61,8 +63,17 @@ def _pieces(lines: DataFrame) -> DataFrame:
     )
 
 
-def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, position, text)`` of every record but the header and blank lines.
+def _no_header(columns: Sequence[str]) -> Column:
+    """False for a file's first record; an error if that isn't the header ``columns``."""
+    names = F.from_csv("text", ", ".join(f"c{i} string" for i in range(len(columns))), {"quote": '"', "escape": '"'})
+    as_expected = F.array(*[names[f"c{i}"] for i in range(len(columns))]) == F.array(*map(F.lit, columns))
+    other = F.raise_error(F.concat(F.lit("another header in "), "file")).cast("boolean")
+    first = (F.col("block") == 0) & (F.col("record") == 1)
+    return F.when(~first, True).when(F.coalesce(as_expected, F.lit(False)), False).otherwise(other)
+
+
+def csv_records(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+    """``(file, position, text)`` of every record but blank lines and the header, which must be ``columns``.
 
     ``position`` increases along the file: split offset plus line number, which
     is below the next offset as a line takes at least one byte.
@@ -82,7 +93,8 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
     whole = pieces.where("record > 0").join(rests, [*SPLIT, "record"], "left")
     text = F.rtrim(F.concat_ws("\n", "piece", "rest"), F.lit("\r"))
     return (
-        whole.where(~((F.col("block") == 0) & (F.col("record") == 1)))
-        .select("file", (F.col("block") + F.col("at") - 1).alias("position"), text.alias("text"))
+        whole.withColumn("text", text)
+        .where(_no_header(columns))
+        .select("file", (F.col("block") + F.col("at") - 1).alias("position"), "text")
         .where(F.trim("text") != "")
     )

@@ -40,6 +40,8 @@ BLOCK_LINES = 2000
 KEY_CHARS = 300
 _DATE = "2024-01-01T00:00:00Z"
 _LEVEL = 4
+#: Tasks that read archives, at most; each streams one archive after another.
+_READERS = 20_000
 _NO_ID = -(1 << 63)
 #: First keys in the directory's upper level.
 TOP_ENTRIES = 50_000
@@ -301,8 +303,9 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                             rows = []
                 yield _frame(rows)
 
-    archives = manifest.select("archive").distinct()
-    return archives.repartition("archive").mapInPandas(run, _RECORD)
+    archives = materialize(manifest.select("archive").distinct(), "archive-names")
+    tasks = max(1, min(archives.count(), _READERS))
+    return archives.repartition(tasks).mapInPandas(run, _RECORD)
 
 
 def read_ranges(places: DataFrame, folder: str) -> DataFrame:

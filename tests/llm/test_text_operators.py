@@ -252,6 +252,16 @@ def test_words_agree_on_every_character():
         assert vocab.words(text) == [text[a:b] for _, (a, b) in t.pre_tokenize_str(text)], hex(ord(part[0]))
 
 
+def test_words_merged_together_come_out_as_one_by_one():
+    vocab = bpe.vocabulary(VOCAB)
+    rng = random.Random(3)
+    words = [bytes(rng.choices(b" etaoinshrdluETA\xc3\xa9\xbc019_", k=rng.randint(0, 60))) for _ in range(6000)]
+    words += [b"a" * n for n in range(90)]
+    for word, packed in zip(words, vocab.merge_many(words)):
+        assert packed == b"".join(i.to_bytes(4, "little") for i in vocab.merge(word)), word
+    assert vocab.merge_many([]) == []
+
+
 def test_lexicon_is_minimal_and_finds_exactly_its_words(tmp_path):
     rng = random.Random(2)
     words = sorted({"".join(rng.choices("abcd", k=rng.randint(1, 7))).encode() for _ in range(400)})

@@ -21,7 +21,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import chain
 from uuid import uuid4
 
 import numpy as np
@@ -41,10 +41,13 @@ from tintero.session import materialize
 WORDS = re.compile(r" ?[^\W\d_]+| ?\d+|'s|'t|'re|'ve|'m|'ll|'d| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 LEXICON_WORDS = 100_000
 LONGEST_WORD = 64
-_CACHED_WORDS = 100_000
 _FLUSH_WORDS = 100_000
-#: Words of so many bytes are merged by looking at all pairs each time, longer ones with a heap.
-_SHORT = 40
+#: Bytes of words outside the lexicon that a worker remembers before it forgets them.
+_RARE_BYTES = 4 << 20
+#: Characters that are split into words before the new ones are looked up together.
+_CHARS = 1 << 20
+#: Words of so many bytes are merged many at a time, longer ones one by one with a heap.
+_SHORT, _AT_ONCE = 40, 4096
 #: Rows that are encoded before their results are passed on.
 _ROWS = 200
 _NO_RULE, _MERGED = 1 << 62, (1 << 32) - 1
@@ -85,6 +88,8 @@ class Vocabulary:
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             self.pairs.setdefault((ids[left], ids[right]), rank << 32 | ids[left + right])
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
+        rules = sorted((left << 32 | right, rule) for (left, right), rule in self.pairs.items())
+        self.rule_keys, self.rule_values = np.array([*rules, (1 << 62, _NO_RULE)], np.int64).T.copy()
         size = max([*ids.values(), *self.special.values()]) + 1
         self.bytes = [b""] * size
         for token, number in ids.items():
@@ -98,13 +103,6 @@ class Vocabulary:
         """The word's ids: the lowest-ranked pair is merged first, the leftmost of equals."""
         ids: list[int] = [self.of_byte[b] for b in word]
         rule_of = self.pairs.get
-        while len(ids) <= _SHORT:
-            rules = list(map(rule_of, zip(ids, ids[1:]), repeat(_NO_RULE)))
-            rule = min(rules, default=_NO_RULE)
-            if rule == _NO_RULE:
-                return ids
-            at = rules.index(rule)
-            ids[at : at + 2] = [rule & _MERGED]
         after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         heap = [(r, i, *pair) for i, pair in enumerate(zip(ids, ids[1:])) if (r := rule_of(pair)) is not None]
         heapq.heapify(heap)
@@ -125,6 +123,59 @@ class Vocabulary:
                 heapq.heappush(heap, (rule, h, ids[h], merged))
         return [i for i in ids if i >= 0]
 
+    def rules_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rule of each pair; a negative id has none."""
+        keys = left << 32 | right
+        at = np.searchsorted(self.rule_keys, keys)
+        return np.where(self.rule_keys[at] == keys, self.rule_values[at], _NO_RULE)
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of each word, as :meth:`merge` finds them.
+
+        Short words of similar length are the rows of a matrix.  Each step
+        merges one pair in every row that has a rule left, so the rows stay of
+        equal width.
+        """
+        out = [b""] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        short = [i for i in order if 0 < len(words[i]) <= _SHORT]
+        for i in order[len(order) - sum(len(w) > _SHORT for w in words) :]:
+            out[i] = np.array(self.merge(words[i]), "<u4").tobytes()
+        of_byte = np.array(self.of_byte, np.int64)
+
+        def finish(places: np.ndarray, ids: np.ndarray) -> None:
+            own = ids >= 0
+            ends = (4 * own.sum(1).cumsum()).tolist()
+            packed = ids[own].astype("<u4").tobytes()
+            for place, start, end in zip(places.tolist(), [0, *ends], ends):
+                out[place] = packed[start:end]
+
+        for first in range(0, len(short), _AT_ONCE):
+            places = np.array(short[first : first + _AT_ONCE])
+            chosen = [words[i] for i in places]
+            width = len(chosen[-1])
+            raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in chosen), np.uint8).reshape(-1, width)
+            inside = np.arange(width) < np.array([len(w) for w in chosen])[:, None]
+            ids = np.where(inside, of_byte[raw], -1)
+            rules = self.rules_of(ids[:, :-1], ids[:, 1:])
+            while width > 1 and len(ids):
+                at = rules.argmin(1)
+                best = np.take_along_axis(rules, at[:, None], 1)[:, 0]
+                more = best != _NO_RULE
+                if not more.all():
+                    finish(places[~more], ids[~more])
+                    places, ids, rules, at, best = (x[more] for x in (places, ids, rules, at, best))
+                width -= 1
+                rows, columns = np.arange(len(ids)), np.arange(width)
+                ids[rows, at] = best & _MERGED
+                ids = np.take_along_axis(ids, columns + (columns > at[:, None]), 1)
+                rules = np.take_along_axis(rules, columns[:-1] + (columns[:-1] >= at[:, None]), 1)
+                for some, near in ((at > 0, at - 1), (at < width - 1, at)):
+                    r, c = rows[some], near[some]
+                    rules[r, c] = self.rules_of(ids[r, c], ids[r, c + 1])
+            finish(places, ids)
+        return out
+
     def parts(self, text: str) -> Iterator[tuple[bool, str]]:
         """Stretches of ordinary text and special strings, in turn."""
         if self.cut is None:
@@ -133,7 +184,6 @@ class Vocabulary:
             for i, part in enumerate(self.cut.split(text)):
                 yield bool(i % 2), part
 
-
     def words(self, text: str) -> list[str]:
         """The words that merges stay within; rare characters are left to the library's own tables."""
         if unusual().isdisjoint(set(text)):
@@ -285,7 +335,8 @@ def _merge_words(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocab = vocabulary(path)
         for batch in batches:
-            yield pd.DataFrame({"word": batch["word"], "ids": [vocab.merge(w) for w in batch["word"]]})
+            packed = vocab.merge_many(list(batch["word"]))
+            yield pd.DataFrame({"word": batch["word"], "ids": [np.frombuffer(p, "<u4").astype("i4") for p in packed]})
 
     return run
 
@@ -318,31 +369,56 @@ def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_WORDS) -> byte
 
 
 class _Coder(dict):
-    """Encoded words; unknown ones come from the lexicon or are merged."""
+    """Packed ids of words (str) and special strings (one-element tuples).
+
+    Words that the lexicon has stay, at most as many as it has; others are
+    merged and remembered up to a number of bytes.
+    """
 
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon):
+        super().__init__({(text,): struct.pack("<I", number) for text, number in vocab.special.items()})
         self.vocab, self.lexicon = vocab, lexicon
-
-    def __missing__(self, word: str) -> bytes:
-        raw = word.encode()
-        ids = self.lexicon.find(raw)
-        if ids is None:
-            ids = self.vocab.merge(raw)
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(raw) <= LONGEST_WORD:
-            if len(self) >= _CACHED_WORDS:
-                self.clear()
-            self[word] = packed
-        return packed
-
-    def encode(self, text: str) -> bytes:
-        out = []
-        for special, part in self.vocab.parts(text):
-            if special:
-                out.append(struct.pack("<I", self.vocab.special[part]))
+        self.rare: list[str] = []
+        self.rare_bytes = 0
+
+    def _learn(self, words: Iterable[str]) -> None:
+        unseen, raws = [], []
+        for word in words:
+            raw = word.encode()
+            ids = self.lexicon.find(raw)
+            if ids is None:
+                unseen.append(word)
+                raws.append(raw)
             else:
-                out.extend(map(self.__getitem__, self.vocab.words(part)))
-        return b"".join(out)
+                self[word] = struct.pack(f"<{len(ids)}I", *ids)
+        self.update(zip(unseen, self.vocab.merge_many(raws)))
+        self.rare.extend(unseen)
+        self.rare_bytes += sum(map(len, raws))
+
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
+        keys: list[list] = []
+        for text in texts:
+            keys.append([])
+            for special, part in self.vocab.parts(text):
+                keys[-1].extend([(part,)] if special else self.vocab.words(part))
+        self._learn(set(chain.from_iterable(keys)).difference(self))
+        out = [b"".join(map(self.__getitem__, k)) for k in keys]
+        if self.rare_bytes > _RARE_BYTES:
+            for word in self.rare:
+                del self[word]
+            self.rare, self.rare_bytes = [], 0
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The packed ids of each text.  New words of several texts are looked up together."""
+        out, group, size = [], [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= _CHARS:
+                out.extend(self._encode_group(group))
+                group, size = [], 0
+        return out + self._encode_group(group)
 
 
 @lru_cache(maxsize=1)
@@ -380,7 +456,7 @@ def encode_decode(docs: DataFrame, path: str, lexicon_words: int = LEXICON_WORDS
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS):
                 rows = batch.slice(start, _ROWS)
-                ids = [coder.encode(t or "") for t in rows.column("text").to_pylist()]
+                ids = coder.encode([t or "" for t in rows.column("text").to_pylist()])
                 decoded = [decode(coder.vocab, i) for i in ids]
                 columns = [*rows.columns, pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, "ids", "decoded"])

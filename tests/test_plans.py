@@ -61,15 +61,43 @@ def test_top_terms_cut_before_the_shuffle(stored):
 
 
 @pytest.mark.parametrize("excluded", [None, 17])
-def test_lift_reads_the_text_once(stored, excluded):
+def test_lift_reads_stored_counts_and_no_text_again(stored, excluded):
     counts = terms.term_counts(stored, ["region_id"])
     plan = executed(terms.relative_lift(counts, "region_id", 1, 1, excluded, 5))
-    assert text_scans(plan) == 1 and "SortMergeJoin" not in plan and "Cross" not in plan
+    assert text_scans(plan) == 0 and "SortMergeJoin" not in plan and "Cross" not in plan
+    assert "FileScan" in plan and "hashpartitioning(term" not in plan
 
 
-def test_divergence_reads_the_text_once(stored):
+def test_divergence_reads_stored_counts_and_no_text_again(stored):
     counts = terms.term_counts(stored, ["source_id"])
-    assert text_scans(executed(terms.vocabulary_divergence(counts, "source_id", 1, 1))) == 1
+    plan = executed(terms.vocabulary_divergence(counts, "source_id", 1, 1))
+    assert text_scans(plan) == 0 and "FileScan" in plan and "hashpartitioning(term" not in plan
+
+
+def test_no_exchange_hashes_counts_by_class_alone(spark, stored):
+    counts = terms.term_counts(stored, ["source_id"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        broadcast = executed(terms.shares(counts, "source_id"))
+        salted = executed(terms.shares(counts, "source_id", 0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in broadcast
+    assert "_salt" in salted and not re.search(r"hashpartitioning\(\w+#\d+L?, \d+\)", salted)
+
+
+def test_large_vocabulary_is_joined_after_the_recount_by_salted_term(spark, stored):
+    finer = terms.term_counts(stored, ["region_id", "source_id"])
+    words = terms.frequent_vocabulary(finer, 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(terms.within_vocabulary(finer, words, "source_id", 0))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    join = plan.index("SortMergeJoin")
+    assert "HashAggregate" not in plan[:join] and re.search(r"hashpartitioning\(term#\d+, _salt#\d+", plan)
 
 
 def test_counting_is_compiled_and_has_no_python(stored):

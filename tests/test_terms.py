@@ -108,8 +108,13 @@ def test_vocabulary_too_large_to_broadcast(articles):
     words = terms.frequent_vocabulary(counts, 5)
     joined = [terms.within_vocabulary(counts, words, "cls", n) for n in (0, 10**6)]
     assert rows(joined[0]) == rows(joined[1]) != []
-    direct = terms.allowed_terms(terms.recount(counts, ["cls", "term"]), 5)
-    assert rows(direct.select("cls", "term", "global_count", "count")) == rows(joined[0])
+    direct = terms.allowed_terms(terms.recount(counts, ["cls", "term"]), "cls", 5)
+    assert rows(direct) == rows(joined[0])
+
+
+def test_totals_too_many_to_broadcast(articles):
+    counts = terms.term_counts(articles, ["cls"], rules=RULES)
+    assert rows(terms.shares(counts, "cls", 0)) == rows(terms.shares(counts, "cls")) != []
 
 
 def test_class_at_the_minimum_stays_and_below_it_goes(spark):

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tintero.config import TokenRules
 from tintero.functions import text
-from tintero.operators.joins import BROADCAST_ROWS, fits_broadcast
+from tintero.operators.joins import BROADCAST_ROWS, fits_broadcast, lookup
+from tintero.session import materialize
 
 
 def sum_emitted(
@@ -129,18 +130,17 @@ def vocabulary(counts: DataFrame, key: str) -> DataFrame:
     )
 
 
-def with_global_count(counts: DataFrame, out: str = "global_count") -> DataFrame:
-    """Add each term's count over all classes.
+def allowed_terms(
+    counts: DataFrame, key: str, min_global_count: int, max_broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``(key, term, global_count, count)`` of the terms that reach a global minimum.
 
-    A term has one row per class, so its group is small however frequent it is;
-    and unlike a join with a second aggregate this reads the text only once.
+    ``counts`` are stored first: they serve the vocabulary and its join, and the
+    text is read once.
     """
-    return counts.withColumn(out, F.sum("count").over(Window.partitionBy("term")).cast("long"))
-
-
-def allowed_terms(counts: DataFrame, min_global_count: int) -> DataFrame:
-    """Counts of the terms that reach a global minimum."""
-    return at_least(with_global_count(counts), "global_count", min_global_count)
+    stored = materialize(counts, "class-counts")
+    words = materialize(frequent_vocabulary(stored, min_global_count), "vocabulary")
+    return within_vocabulary(stored, words, key, max_broadcast_rows)
 
 
 def frequent_vocabulary(counts: DataFrame, min_global_count: int) -> DataFrame:
@@ -156,29 +156,34 @@ def within_vocabulary(
 
     Most distinct terms are rare.  With a vocabulary that can be broadcast (its
     rows are counted) they are dropped where ``counts`` are read and never reach
-    the shuffle by class; a larger one is joined by term.
+    the shuffle by class.  A larger one is joined after the recount, when a term
+    has one row per class, by (term, salt of the class).
     """
-    small = fits_broadcast(vocabulary, max_broadcast_rows)
-    kept = counts.join(F.broadcast(vocabulary) if small else vocabulary, "term")
-    return recount(kept, [key, "term", "global_count"])
+    if fits_broadcast(vocabulary, max_broadcast_rows):
+        return recount(counts.join(F.broadcast(vocabulary), "term"), [key, "term", "global_count"])
+    recounted = recount(counts, [key, "term"])
+    found = lookup(recounted, vocabulary, "term", "term", key, 0).where("global_count IS NOT NULL")
+    return found.select(key, "term", "global_count", "count")
 
 
-def with_totals(counts: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Add ``class_total`` and ``corpus_total`` of ``counts`` to ``rows``.
+def with_totals(
+    counts: DataFrame, rows: DataFrame, key: str, max_broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Add ``class_total`` and ``corpus_total`` of ``counts`` to ``rows``; both null for rows without a class.
 
-    The condition is null-safe because a plain one would let "is not null", and any
-    filter on the class of ``rows``, be pushed into the totals, which then could
-    not share the counting stage with ``rows``.
+    The totals have one row per class and are stored and counted: a number that
+    fits is broadcast, more are joined by (class, salt of the term).
     """
-    totals = class_totals(counts, key, "class_total").withColumnRenamed(key, "_class")
+    totals = materialize(class_totals(counts, key, "class_total"), "class-totals")
     corpus = totals.agg(F.sum("class_total").alias("corpus_total"))
-    same = F.col(key).eqNullSafe(F.col("_class"))
-    return rows.join(totals, same).drop("_class").withColumn("corpus_total", corpus.scalar())
+    found = lookup(rows, totals, key, key, "term", max_broadcast_rows)
+    return found.withColumn("corpus_total", corpus.scalar())
 
 
-def shares(counts: DataFrame, key: str) -> DataFrame:
+def shares(counts: DataFrame, key: str, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Each count relative to its class and to the corpus."""
-    return with_totals(counts, counts, key).select(
+    counts = materialize(counts, "class-counts")
+    return with_totals(counts, counts, key, max_broadcast_rows).select(
         *counts.columns,
         (F.col("count") / F.col("class_total")).alias("class_share"),
         (F.col("count") / F.col("corpus_total")).alias("corpus_share"),
@@ -200,10 +205,13 @@ def relative_lift(
     is the term's share of the class over its share of the corpus.  The global
     side covers everything, the excluded class and unclassified rows included.
     ``limit`` keeps that many terms per class, 0 keeps all.  ``frequent`` may bring
-    the result of :func:`within_vocabulary`; ``counts`` may then be finer.
+    the result of :func:`within_vocabulary`; ``counts`` are then a stored table and
+    may be finer.
     """
     if frequent is None:
-        frequent = allowed_terms(counts, min_global_count)
+        counts = materialize(counts, "class-counts")
+        words = materialize(frequent_vocabulary(counts, min_global_count), "vocabulary")
+        frequent = within_vocabulary(counts, words, key)
     rows = with_totals(counts, at_least(frequent, "count", min_class_count), key)
     if excluded is not None:
         rows = exclude_class(rows, key, excluded)
@@ -243,7 +251,7 @@ def vocabulary_divergence(
     :func:`within_vocabulary`.
     """
     if frequent is None:
-        frequent = allowed_terms(counts, min_global_count)
+        frequent = allowed_terms(counts, key, min_global_count)
     n, g = F.col("count"), F.col("global_count")
     per_class = (
         frequent.groupBy(key)

@@ -60,16 +60,25 @@ def write_fact(
 
 
 def scan_fact(
-    spark: SparkSession, warehouse: str, columns: Sequence[str] | None = None, name: str = FACT
+    spark: SparkSession,
+    warehouse: str,
+    columns: Sequence[str] | None = None,
+    name: str = FACT,
+    schema: str | None = None,
 ) -> DataFrame:
     """The fact, with ``month`` back in its two-digit form.
 
     ``columns`` that the fact does not have are ignored.  Filters on year and
     month prune partitions.  A missing folder is an error; one without files, as
     written for no articles at all, is an empty fact.
+
+    Without ``schema`` the columns are those of one file.  Where files differ,
+    declare it (``FACT_SCHEMA`` for example): a column is then null in the rows
+    of files without it, and no footers are read to find it.
     """
+    reader = spark.read if schema is None else spark.read.schema(schema)
     try:
-        fact = spark.read.parquet(f"{warehouse}/{name}")
+        fact = reader.parquet(f"{warehouse}/{name}")
     except AnalysisException as problem:
         if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise

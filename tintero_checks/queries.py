@@ -113,11 +113,14 @@ def text_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "text_fold_arrow",
-    f"WITH {A} SELECT article_id, {sql.fold("title")} AS title_clean FROM articles",
+    f"""WITH {A} SELECT article_id, {sql.fold("title")} AS title_clean,
+    md5({sql.fold("body")}) AS body_md5 FROM articles""",
 )
 def text_fold_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = text.fold_arrow()
-    return articles(spark, sf_dir).select("article_id", fold("title").alias("title_clean"))
+    return articles(spark, sf_dir).select(
+        "article_id", fold("title").alias("title_clean"), F.md5(fold("body")).alias("body_md5")
+    )
 
 
 @register(
@@ -567,6 +570,20 @@ def fact_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return months.select("article_id", "date_id", "month")
 
 
+@register(
+    "fact_with_differing_files",
+    f"""WITH {_FACT} SELECT article_id, CASE WHEN month <> '02' THEN title END AS title,
+    CASE WHEN month = '02' THEN md5(body) END AS body_md5, month FROM fact""",
+)
+def fact_with_differing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "differing")
+    whole = fact(spark, sf_dir)
+    warehouse.write_fact(whole.where("month <> '02'").drop("body"), path)
+    warehouse.write_fact(whole.where("month = '02'").drop("title"), path, only_own_partitions=True)
+    found = warehouse.scan_fact(spark, path, schema=warehouse.FACT_SCHEMA)
+    return found.select("article_id", "title", F.md5("body").alias("body_md5"), "month")
+
+
 @register(
     "date_lookup",
     f"""WITH {A} SELECT article_id, CAST(strftime(publish_date, '%Y%m%d') AS INTEGER) AS date_id,
@@ -728,7 +745,7 @@ def min_support_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT source, term, count, global_count FROM n JOIN g USING (term)""",
 )
 def allowed_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return terms.allowed_terms(counted(spark, sf_dir, "source"), 50)
+    return terms.allowed_terms(counted(spark, sf_dir, "source"), "source", 50)
 
 
 _LANG_COUNTS = f"{A}, {KEPT}, n AS (SELECT lang, term, count(*) AS n FROM kept GROUP BY lang, term)"

@@ -43,7 +43,7 @@ LEXICON_WORDS = 100_000
 LONGEST_WORD = 64
 _FLUSH_WORDS = 100_000
 #: Bytes of words outside the lexicon that a worker remembers before it forgets them.
-_RARE_BYTES = 4 << 20
+_RARE_BYTES = 1 << 20
 #: Characters that are split into words before the new ones are looked up together.
 _CHARS = 1 << 20
 #: Words of so many bytes are merged many at a time, longer ones one by one with a heap.
@@ -54,14 +54,14 @@ _NO_RULE, _MERGED = 1 << 62, (1 << 32) - 1
 
 
 @lru_cache(maxsize=1)
-def unusual() -> frozenset[str]:
-    """Characters that the standard library classes otherwise than Unicode's letters, digits and white space, or not at all."""
+def unusual() -> bytes:
+    """Marks, by code point, characters that the standard library classes otherwise than Unicode's letters, digits and white space, or not at all."""
 
     def odd(c: str) -> bool:
         kind = unicodedata.category(c)
         return kind == "Cn" or c.isalnum() != (kind[0] == "L" or kind == "Nd") or c in "\x1c\x1d\x1e\x1f"
 
-    return frozenset(c for c in map(chr, range(0x110000)) if odd(c))
+    return bytes(map(odd, map(chr, range(0x110000))))
 
 
 def byte_letters() -> list[str]:
@@ -186,7 +186,7 @@ class Vocabulary:
 
     def words(self, text: str) -> list[str]:
         """The words that merges stay within; rare characters are left to the library's own tables."""
-        if unusual().isdisjoint(set(text)):
+        if not any(map(unusual().__getitem__, map(ord, set(text)))):
             return WORDS.findall(text)
         if self.splitter is None:
             self.splitter = Tokenizer.from_file(self.path).pre_tokenizer

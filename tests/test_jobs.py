@@ -7,6 +7,8 @@ import pytest
 from conftest import rows
 
 import model
+from pyspark.sql import functions as F
+
 from tintero import lexicon
 from tintero.config import AnalyticsConfig, ReportConfig, TokenRules, WarehouseConfig
 from tintero.plans.analytics import run_analytics
@@ -164,9 +166,16 @@ def test_placeholder_words_can_be_left_out(spark, built, facts):
 def test_stops_on_request_when_invalid(spark):
     schema = "article_id bigint, title string, body string, source string, publish_date string, ingest_seq bigint"
     articles = spark.createDataFrame([(1, "a", "b", "s", "2023-01-01", 0)], schema)
+    path = scratch_path(spark, "bad")
+    build_warehouse(spark, articles.withColumn("article_id", F.lit(7).cast("long")), path)
     config = WarehouseConfig(class_names=["solo"], fail_on_invalid=True)  # class 17 has no row
     with pytest.raises(InvalidWarehouse, match="referential_integrity"):
-        build_warehouse(spark, articles, scratch_path(spark, "bad"), config)
+        build_warehouse(spark, articles, path, config)
+    assert [r.article_id for r in warehouse.scan_fact(spark, path).collect()] == [7]
+    assert spark.read.parquet(f"{path}/dim_region").count() == len(lexicon.REGION_NAMES)
+    assert spark.read.parquet(f"{path}/validation_report").where("not passed").count() == 0
+    build_warehouse(spark, articles, path)
+    assert [r.article_id for r in warehouse.scan_fact(spark, path).collect()] == [1]
 
 
 def test_empty_input(spark):

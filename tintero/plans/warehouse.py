@@ -14,7 +14,7 @@ from tintero.sources.articles import land_articles, read_article_csv
 
 
 class InvalidWarehouse(RuntimeError):
-    """A validation failed and the configuration asks to stop."""
+    """A validation failed and the configuration asks to stop; the warehouse is as before."""
 
 
 def build_warehouse(
@@ -28,6 +28,11 @@ def build_warehouse(
     ``articles`` are CSV paths, or a stored table with the raw columns and
     ``ingest_seq``.  The text is read once, to write the fact; everything else
     reads narrow columns of stored tables.
+
+    All tables are written to a folder inside ``warehouse`` and validated
+    there; then they replace those of the last build.  With
+    ``fail_on_invalid`` a failed check stops before that: the last build stays
+    as it was, and the error names the folder with the rejected one.
     """
     if isinstance(articles, DataFrame):
         raw = articles
@@ -43,7 +48,8 @@ def build_warehouse(
         "dim_source": dimensions.source_dimension(clean),
         "dim_region": dimensions.class_dimension(spark, config.class_names),
     }
-    dims = {name: store.write_dimension(df, warehouse, name) for name, df in dims.items()}
+    staged = store.staging(warehouse)
+    dims = {name: store.write_dimension(df, staged, name) for name, df in dims.items()}
 
     fact = assemble_fact(
         clean,
@@ -52,13 +58,14 @@ def build_warehouse(
         config.unknown_class,
         config.title_weight,
     )
-    store.write_fact(fact, warehouse)
+    store.write_fact(fact, staged)
 
-    report = quality.validation_report(clean, store.scan_fact(spark, warehouse), dims)
-    report.write.mode("overwrite").parquet(f"{warehouse}/validation_report")
-    report = spark.read.parquet(f"{warehouse}/validation_report")
+    report = quality.validation_report(clean, store.scan_fact(spark, staged), dims)
+    report.write.parquet(f"{staged}/validation_report")
     if config.fail_on_invalid:
+        report = spark.read.parquet(f"{staged}/validation_report")
         failed = [r["check"] for r in report.where("not passed").collect()]  # at most five rows
         if failed:
-            raise InvalidWarehouse(", ".join(sorted(failed)))
-    return report
+            raise InvalidWarehouse(f"{', '.join(sorted(failed))} in {staged}")
+    store.publish(spark, staged, warehouse)
+    return spark.read.parquet(f"{warehouse}/validation_report")

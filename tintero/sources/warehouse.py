@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,33 @@ FACT_SCHEMA = (
 PARTITIONS = ("year", "month")
 
 
+def staging(warehouse: str) -> str:
+    """A new folder inside ``warehouse`` that scans of the warehouse don't see."""
+    return f"{warehouse}/_build-{uuid4().hex}"
+
+
+def publish(spark: SparkSession, staged: str, warehouse: str) -> None:
+    """Put every table of ``staged`` in the place of the one of its name in ``warehouse``.
+
+    Two renames per table and no copy; tables that replace nothing take one.
+    Replaced tables are deleted at the end, so a publication that breaks off
+    leaves both versions on disk.  The swap is per table, not of all at once.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def move(source: str, target: str) -> None:
+        if not files.rename(path(source), path(target)):
+            raise OSError(f"could not rename {source} to {target}")
+
+    names = [status.getPath().getName() for status in files.listStatus(path(staged))]
+    for name in names:
+        if files.exists(path(f"{warehouse}/{name}")):
+            move(f"{warehouse}/{name}", f"{staged}/_replaced-{name}")
+        move(f"{staged}/{name}", f"{warehouse}/{name}")
+    files.delete(path(staged), True)
+
+
 def write_dimension(df: DataFrame, warehouse: str, name: str) -> DataFrame:
     """One folder per dimension; AQE merges a small dimension into one file."""
     path = f"{warehouse}/{name}"

@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1068,6 +1069,19 @@ def warehouse_job_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{_built(spark, sf_dir)}/validation_report")
 
 
+@register(
+    "warehouse_job_violations",
+    f"""WITH {_FACT}, orphans AS (SELECT count(*) AS n FROM fact WHERE region_id IN (4, 5))
+    SELECT c AS "check", c <> 'referential_integrity' OR n = 0 AS passed,
+           CAST(CASE c WHEN 'referential_integrity' THEN n ELSE 0 END AS BIGINT) AS violations
+    FROM orphans, (VALUES {", ".join(f"('{n}')" for n in _REPORT_NAMES)}) AS t(c)""",
+)
+def warehouse_job_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a build whose class dimension lacks two classes that the articles have."""
+    config = replace(WAREHOUSE, class_names=CLASS_NAMES[:3])
+    return build_warehouse(spark, articles(spark, sf_dir).drop("lang"), scratch_path(spark, "warehouse"), config)
+
+
 _JOB = f"""{_FACT}, {sql.kept_terms(stop_words=True, source="fact")},
 base AS (SELECT k.year_month, f.region_id, f.source_id, k.term, count(*) AS n
          FROM kept k JOIN fact f USING (article_id) GROUP BY ALL),
@@ -1081,14 +1095,15 @@ by_source AS (SELECT source_id, term, sum(n) AS n FROM base GROUP BY ALL),
 names(region_key, region_name) AS (VALUES {_NAMES})"""
 
 
-def _tagged(result: str, df: DataFrame, group: str, item: str, n: str, x=None) -> DataFrame:
-    value = F.lit(None).cast("double") if x is None else F.round(x, 6)
+def _tagged(result: str, df: DataFrame, group: str, item: str, n: str, x=None, y=None) -> DataFrame:
+    x, y = (F.lit(None).cast("double") if c is None else F.round(F.col(c).cast("double"), 6) for c in (x, y))
     return df.select(
         F.lit(result).alias("result"),
         F.col(group).cast("string").alias("group_key"),
         F.col(item).cast("string").alias("item"),
         F.col(n).cast("long").alias("n"),
-        value.alias("x"),
+        x.alias("x"),
+        y.alias("y"),
     )
 
 
@@ -1096,12 +1111,12 @@ def _tagged(result: str, df: DataFrame, group: str, item: str, n: str, x=None) -
     "analytics_job",
     f"""WITH {_JOB}
     SELECT 'monthly' AS result, year_month AS group_key, term AS item, CAST(n AS BIGINT) AS n,
-           CAST(NULL AS DOUBLE) AS x FROM monthly WHERE rn <= 20
-    UNION ALL SELECT 'regional', region_name, term, regional_count, relative_ratio
+           CAST(NULL AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS y FROM monthly WHERE rn <= 20
+    UNION ALL SELECT 'regional', region_name, term, regional_count, relative_ratio, global_count
     FROM lift JOIN names ON region_id = region_key
-    UNION ALL SELECT 'divergence', source_name, CAST(vocabulary_size AS VARCHAR), total_terms, kl_divergence
+    UNION ALL SELECT 'divergence', source_name, CAST(vocabulary_size AS VARCHAR), total_terms, kl_divergence, NULL
     FROM divergence JOIN dim_source USING (source_id)
-    UNION ALL SELECT 'peaks', CAST(date AS VARCHAR), CAST(is_peak AS VARCHAR), article_count, moving_average
+    UNION ALL SELECT 'peaks', CAST(date AS VARCHAR), CAST(is_peak AS VARCHAR), article_count, moving_average, delta
     FROM peaks""",
 )
 def analytics_job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1110,9 +1125,9 @@ def analytics_job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly, regional, divergence, peaks = (found[n] for n in results.SCHEMAS)
     parts = [
         _tagged("monthly", monthly, "year_month", "term", "count"),
-        _tagged("regional", regional, "region_name", "term", "regional_count", "relative_ratio"),
+        _tagged("regional", regional, "region_name", "term", "regional_count", "relative_ratio", "global_count"),
         _tagged("divergence", divergence, "source_name", "vocabulary_size", "total_terms", "kl_divergence"),
-        _tagged("peaks", peaks, "date", "is_peak", "article_count", "moving_average"),
+        _tagged("peaks", peaks, "date", "is_peak", "article_count", "moving_average", "delta"),
     ]
     return reduce(DataFrame.unionAll, parts)
 
@@ -1122,11 +1137,16 @@ def analytics_job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {_JOB}, top AS (SELECT * FROM monthly WHERE rn <= 20),
     t AS (SELECT term, sum(n) AS total FROM top GROUP BY term ORDER BY total DESC, term LIMIT 15)
     SELECT 'global' AS result, term AS group_key, term AS item, CAST(total AS BIGINT) AS n,
-           CAST(NULL AS DOUBLE) AS x FROM t
-    UNION ALL SELECT 'leading', year_month, term, CAST(n AS BIGINT), NULL FROM top WHERE rn = 1
-    UNION ALL SELECT 'peaks', CAST(date AS VARCHAR), 'true', article_count, moving_average
+           CAST(NULL AS DOUBLE) AS x, CAST(NULL AS DOUBLE) AS y FROM t
+    UNION ALL SELECT 'leading', year_month, term, CAST(n AS BIGINT), NULL, NULL FROM top WHERE rn = 1
+    UNION ALL SELECT * FROM (
+      SELECT 'divergent', source_name, source_name, CAST(NULL AS BIGINT), kl_divergence, NULL
+      FROM divergence JOIN dim_source USING (source_id) ORDER BY kl_divergence DESC, source_id LIMIT 15)
+    UNION ALL SELECT 'series', CAST(date AS VARCHAR), CAST(is_peak AS VARCHAR), article_count, moving_average, delta
+    FROM peaks
+    UNION ALL SELECT 'peaks', CAST(date AS VARCHAR), 'true', article_count, moving_average, delta
     FROM peaks WHERE is_peak
-    UNION ALL SELECT 'regional', region_name, term, regional_count, round(ratio, 6) FROM (
+    UNION ALL SELECT 'regional', region_name, term, regional_count, round(ratio, 6), NULL FROM (
       SELECT *, row_number() OVER (PARTITION BY region_name ORDER BY regional_count DESC, ratio DESC, term) AS rn2
       FROM (SELECT * FROM ranked_lift WHERE rn <= 30) JOIN names ON region_id = region_key
       WHERE region_name IN ('Espanol', 'Frances')) WHERE rn2 <= 10""",
@@ -1137,10 +1157,13 @@ def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "results")
     analytics_job.run_analytics(spark, _built(spark, sf_dir), out, ANALYTICS)
     frames = build_reports(spark, out, ReportConfig(regions=("Espanol", "Frances")))
+    divergent = frames["divergent_sources"].withColumn("no_count", F.lit(None))
     parts = [
         _tagged("global", frames["global_top_terms"], "term", "term", "total"),
         _tagged("leading", frames["monthly_leading_terms"], "year_month", "term", "count"),
-        _tagged("peaks", frames["peak_days"], "date", "is_peak", "article_count", "moving_average"),
+        _tagged("divergent", divergent, "source_name", "source_name", "no_count", "kl_divergence"),
+        _tagged("series", frames["daily_series"], "date", "is_peak", "article_count", "moving_average", "delta"),
+        _tagged("peaks", frames["peak_days"], "date", "is_peak", "article_count", "moving_average", "delta"),
         _tagged("regional", frames["regional_terms"], "region_name", "term", "regional_count", "relative_ratio"),
     ]
     return reduce(DataFrame.unionAll, parts)

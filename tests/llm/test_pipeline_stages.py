@@ -60,3 +60,23 @@ def test_groups_of_a_base_and_copies_unlike_each_other(spark, limits):
     assert sum(similar(a, b) for a in sets for b in sets if a is not b) < 41 * 8
     found = simhash.similar_groups(frame(spark, docs), **limits)
     assert sorted(tuple(r) for r in found.collect()) == sorted(groups(docs))
+
+
+def long_pairs():
+    """Texts of more than 256 shingles in pairs just above and below 0.8: one inside the other, or of equal size."""
+    texts = []
+    for n, (size, of) in enumerate([(300, 353), (400, 471), (450, 511), (300, 375), (300, 376), (800, 1000), (800, 1001), (3000, 3751)]):
+        words = [f"i{n}x{i}" for i in range(of + WORDS - 1)]
+        texts += [" ".join(words[: size + WORDS - 1]), " ".join(words)]
+    for n, (size, other) in enumerate([(450, 50), (450, 51), (900, 100), (900, 101)]):
+        words = [f"e{n}x{i}" for i in range(size + other + WORDS - 1)]
+        texts += [" ".join(words[: size + WORDS - 1]), " ".join(words[other:])]
+    return list(enumerate(texts))
+
+
+def test_long_texts_just_above_and_below(spark):
+    docs = long_pairs()
+    sets = [shingles(t) for _, t in docs]
+    assert [similar(a, b) for a, b in zip(sets[::2], sets[1::2])] == [True] * 4 + [False, True, False, False] + [True, False] * 2
+    found = simhash.similar_groups(frame(spark, docs))
+    assert sorted(tuple(r) for r in found.collect()) == sorted(groups(docs))

@@ -236,8 +236,6 @@ def near_duplicates(
 
 # ------------------------------------------------------------------ by similarity
 
-#: Smallest shingle hashes compared of a text: similarities of texts with no more shingles are exact.
-SKETCH = 256
 #: Rows that share a shingle, above which the shingle goes to the end of the order.
 HOT_BUCKET = 64
 #: Rows that share a shingle, up to which all their pairs are checked at once.
@@ -347,11 +345,11 @@ def _linked(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFra
     pairs = materialize(pairs.distinct(), "candidates")
     named = materialize(pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct(), "candidate-rows")
     held = materialize(join_small(shingles, named, ["row"], "left_semi", 16), "candidate-shingles")
-    a, b = (held.select(F.col("row").alias(c), F.slice("shingles", 1, SKETCH).alias(f"{c}_sketch")) for c in "uv")
-    both = pairs.join(a, "u").join(b, "v")
-    united = F.slice(F.array_sort(F.array_union("u_sketch", "v_sketch")), 1, SKETCH)
-    shared = F.array_intersect(united, F.array_intersect("u_sketch", "v_sketch"))
-    return materialize(both.where(F.size(shared) >= F.size(united) * F.lit(similarity)).select("u", "v"), "checked")
+    a, b = (held.select(F.col("row").alias(c), F.col("shingles").alias(f"{c}_shingles")) for c in "uv")
+    shared = F.size(F.array_intersect("u_shingles", "v_shingles"))
+    united = F.size("u_shingles") + F.size("v_shingles") - F.col("shared")
+    both = pairs.join(a, "u").join(b, "v").withColumn("shared", shared)
+    return materialize(both.where(F.col("shared") >= united * F.lit(similarity)).select("u", "v"), "checked")
 
 
 def similar_groups(

@@ -37,11 +37,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item.  Documents without an id hold none by definition: they can't be named."""
+    """Documents that hold no benchmark item, told apart by a number of each row instead of their ids."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contamination(docs, benchmark).where("doc_id IS NOT NULL")
-    found = materialize(found.select("doc_id").distinct(), "contaminated")
-    return join_small(docs.select(*COLUMNS), found, ["doc_id"], "left_anti", 16)
+    numbered = materialize(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = decontaminate.contamination(numbered.select(F.col("row").alias("doc_id"), "text"), benchmark)
+    found = materialize(found.select(F.col("doc_id").alias("row")).distinct(), "contaminated")
+    return join_small(numbered, found, ["row"], "left_anti", 16).drop("row")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,10 +3,12 @@
 import random
 
 import brute
+import corpus_pipeline
 import pytest
 
 from tintero.llm import simhash
 
+SMALL = "/root/testdata/sf0.001"
 WORDS = 5
 
 
@@ -80,3 +82,26 @@ def test_long_texts_just_above_and_below(spark):
     assert [similar(a, b) for a, b in zip(sets[::2], sets[1::2])] == [True] * 4 + [False, True, False, False] + [True, False] * 2
     found = simhash.similar_groups(frame(spark, docs))
     assert sorted(tuple(r) for r in found.collect()) == sorted(groups(docs))
+
+
+def staged(spark, rows):
+    frame_ = spark.createDataFrame(rows, "doc_id long, text string")
+    from pyspark.sql import functions as F
+
+    return frame_.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("web").alias("source"), F.char_length("text").cast("long").alias("n_chars"))
+
+
+def test_near_dedup_decides_by_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    docs = [(None, a), (None, a), (7, b), (7, b), (7, c), (3, c), (None, c), (8, "alone one two three four five")]
+    left = corpus_pipeline.drop_near_duplicates(spark, staged(spark, docs), SMALL)
+    assert left.columns == list(corpus_pipeline.COLUMNS)
+    want = [(None, a), (7, b), (3, c), (8, "alone one two three four five")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
+def test_decontamination_decides_by_row(spark):
+    item = next(r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() if r.text and len(r.text) > 60)
+    docs = [(None, f"before {item} after"), (None, "clean text without any of it"), (5, item), (5, "a clean one with the same id")]
+    left = corpus_pipeline.drop_contaminated(spark, staged(spark, docs), SMALL)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([docs[1], docs[3]], key=str)

@@ -352,25 +352,20 @@ def _linked(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFra
     return materialize(both.where(F.col("shared") >= united * F.lit(similarity)).select("u", "v"), "checked")
 
 
-def similar_groups(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2, tree_nodes: int = TREE_NODES,
-    hot_bucket: int = HOT_BUCKET, whole_bucket: int = WHOLE_BUCKET, open_pairs: int = OPEN_PAIRS,
-) -> DataFrame:
-    """(doc_id, component_id): groups joined by pairs of at least ``similarity`` (Jaccard, of word shingles).
-
-    A fingerprint of 64 bits tells texts of that similarity apart by ten bits,
-    too many to search for.  The trees join what is within ``radius``; for the
-    rest, rows that share one of their first shingles form a bucket, and every
-    pair of the similarity has a bucket.  Small buckets have all their pairs
-    checked.  In a large one, rows are compared with one row at a time, as long
-    as that joins many of them, and then all pairs that no chain of links has
-    joined.  Texts without words form one group.  Null ids are carried along;
-    repeated rows stay repeated.
-    """
+def _marked(docs: DataFrame, words: int) -> DataFrame:
+    """(row, doc_id, fp, same, shingles) of ``docs(row, doc_id, text)``, stored."""
     ship_package(docs.sparkSession)
-    marked = docs.select("doc_id", _shingles(words)(text_or_empty()).alias("s")).select("doc_id", "s.*")
-    marked = materialize(marked.withColumn("row", F.monotonically_increasing_id()), "shingles")
-    classes = marked.groupBy("same").agg(F.min("row").alias("row"), F.min("doc_id").alias("first_id"))
+    marked = docs.select("row", "doc_id", _shingles(words)(text_or_empty()).alias("s")).select("row", "doc_id", "s.*")
+    return materialize(marked, "shingles")
+
+
+def _rooted(
+    marked: DataFrame, similarity: float, radius: int, tree_nodes: int,
+    hot_bucket: int, whole_bucket: int, open_pairs: int,
+) -> DataFrame:
+    """(same, first, root) per distinct text: its first row by id, a null id last, and the name of its group."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    classes = marked.groupBy("same").agg(F.min("row").alias("row"), first)
     classes = materialize(classes, "shingle-classes")
     full = join_small(marked, classes.select("row"), ["row"], "left_semi", 16)
     shingles = full.select("row", "shingles")
@@ -417,19 +412,46 @@ def similar_groups(
         links = links.union(_linked(pairs, shingles, similarity))
 
     rooted = classes.join(roots.withColumnRenamed("node", "row"), "row", "left")
-    rooted = materialize(rooted.withColumn("root", F.coalesce("root", "row")), "rooted")
-    groups = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = rooted.join(groups, "root").select("same", "component_id")
-    return marked.select("doc_id", "same").join(of_class, "same").select("doc_id", "component_id")
+    return materialize(rooted.select("same", "first", F.coalesce("root", "row").alias("root")), "rooted")
+
+
+def _firsts_of_groups(rooted: DataFrame) -> DataFrame:
+    """(same, first) per distinct text, with the first row of its group."""
+    groups = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return rooted.select("same", "root").join(groups, "root").select("same", "first")
+
+
+def similar_groups(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2, tree_nodes: int = TREE_NODES,
+    hot_bucket: int = HOT_BUCKET, whole_bucket: int = WHOLE_BUCKET, open_pairs: int = OPEN_PAIRS,
+) -> DataFrame:
+    """(doc_id, component_id): groups joined by pairs of at least ``similarity`` (Jaccard, of word shingles).
+
+    A fingerprint of 64 bits tells texts of that similarity apart by ten bits,
+    too many to search for.  The trees join what is within ``radius``; for the
+    rest, rows that share one of their first shingles form a bucket, and every
+    pair of the similarity has a bucket.  Small buckets have all their pairs
+    checked.  In a large one, rows are compared with one row at a time, as long
+    as that joins many of them, and then all pairs that no chain of links has
+    joined.  Texts without words form one group.  Null ids are carried along;
+    repeated rows stay repeated.
+    """
+    marked = _marked(docs.withColumn("row", F.monotonically_increasing_id()), words)
+    rooted = _rooted(marked, similarity, radius, tree_nodes, hot_bucket, whole_bucket, open_pairs)
+    named = _firsts_of_groups(rooted).select("same", F.col("first.doc_id").alias("component_id"))
+    return marked.select("doc_id", "same").join(named, "same").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` whose id names their group: one document of each group, by the smallest id.
+    """One row of ``docs`` of each group, the one with the smallest id.
 
-    Needs ids without repeats and nulls for exactly one row per group: rows
-    that repeat the id that stays all stay, and rows without an id stay.
+    Rows are told apart by a number of their own, so repeated ids and rows
+    without an id are treated like any other; a row without an id stays only
+    where its whole group has none.
     """
-    groups = similar_groups(docs, words, similarity)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    gone = materialize(gone, "near-copies")
-    return join_small(docs, gone, ["doc_id"], "left_anti", 16)
+    numbered = materialize(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    marked = _marked(numbered, words)
+    rooted = _rooted(marked, similarity, 2, TREE_NODES, HOT_BUCKET, WHOLE_BUCKET, OPEN_PAIRS)
+    gone = marked.select("row", "same").join(_firsts_of_groups(rooted), "same").where(F.col("row") != F.col("first.row"))
+    gone = materialize(gone.select("row"), "near-copies")
+    return join_small(numbered, gone, ["row"], "left_anti", 16).drop("row")

@@ -4,9 +4,10 @@ A page is read into element subtrees.  Every block element gets a hash of its
 tags and text.  Spark counts, per host, in how many different pages each hash
 occurs; pages whose longest block is the same count as one, so copies of a
 page don't turn its article into a template.  Subtrees found in ``MIN_PAGES``
-or more pages of a host are deleted, and so is what its tag, role or class
-marks as not being the article.  Inside an article, paragraphs and headings
-are never taken for templates: short ones may recur by chance.
+or more pages of a host, and in ``MIN_SHARE`` of its different pages, are
+deleted, and so is what its tag, role or class marks as not being the article.
+Nothing else of an article element is taken for a template, nor are paragraphs
+and headings of a main element: short ones may recur by chance.
 """
 
 from __future__ import annotations
@@ -21,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tintero.llm.common import BROADCAST_BYTES, ship_package, text_or_empty
+from tintero.llm.common import BROADCAST_BYTES, join_small, ship_package, text_or_empty
 from tintero.session import materialize
 
 MIN_PAGES = 10
+#: Part of the host's different pages that a template is found in at least.
+MIN_SHARE = 0.1
 #: Outside an article, paragraphs shorter than this are never templates.
 MIN_CHARS = 20
 
@@ -205,7 +208,12 @@ class Page:
     def longest(self) -> int:
         return xxh64_intdigest(max((t for t, _, _ in self.blocks), key=len, default="").encode("utf-8", "replace"))
 
+    def _in_article(self, root: int) -> bool:
+        return root >= 0 and self.roots[root] == "article"
+
     def _may_recur(self, tag: str, root: int, size: int) -> bool:
+        if self._in_article(root):
+            return False
         if tag in _PARAGRAPHS:
             return root < 0 and size >= MIN_CHARS
         return tag not in _ROOTS
@@ -220,7 +228,7 @@ class Page:
             for i, (tag, root, h, size) in enumerate(self.subtrees)
             if size and templates and self._may_recur(tag, root, size) and _of_host(host, h) in templates
         }
-        blocks = [(t, root) for t, inside, root in self.blocks if gone.isdisjoint(inside)]
+        blocks = [(t, root) for t, inside, root in self.blocks if self._in_article(root) or gone.isdisjoint(inside)]
         if self.roots:
             sizes = [0] * len(self.roots)
             for t, root in blocks:
@@ -249,21 +257,29 @@ def host_of(url: str | None) -> str:
 
 def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        hashes, contents = [], []
+        hosts, hashes, contents = [], [], []
         for url, html in zip(batch["url"], batch["html"]):
-            page = Page(html)
-            found = page.candidates(host_of(url))
+            page, host = Page(html), host_of(url)
+            found = [*page.candidates(host), None]
             content = page.longest() >> 1
+            hosts.extend([_of_host(host, 0)] * len(found))
             hashes.extend(found)
             contents.extend([content] * len(found))
-        yield pd.DataFrame({"h": pd.Series(hashes, dtype="int64"), "content": pd.Series(contents, dtype="int64")})
+        yield pd.DataFrame({
+            "host": pd.Series(hosts, dtype="int64"), "h": pd.Series(hashes, dtype="Int64"),
+            "content": pd.Series(contents, dtype="int64"),
+        })
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(h): hashes, by host, of the subtrees found in ``min_pages`` or more different pages of the host."""
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+    """(h): hashes, by host, of the subtrees in ``min_pages`` and ``min_share`` of the host's different pages or more."""
     rows = pages.select("url", text_or_empty("html").alias("html"))
-    found = rows.mapInPandas(_candidates, "h long, content long").distinct()
-    return found.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages).select("h")
+    found = rows.mapInPandas(_candidates, "host long, h long, content long").distinct()
+    counts = found.groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("h").isNull() | (F.col("n") >= min_pages))
+    counts = materialize(counts, "subtree-counts")
+    hosts = counts.where("h IS NULL").select("host", F.col("n").alias("pages"))
+    often = join_small(counts.where("h IS NOT NULL"), hosts, ["host"], "inner", 24)
+    return often.where(F.col("n") >= F.col("pages") * F.lit(min_share)).select("h")
 
 
 def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, limit: int = BROADCAST_BYTES) -> DataFrame:

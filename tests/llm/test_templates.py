@@ -25,3 +25,13 @@ def test_templates_are_in_a_share_of_the_pages(spark, limit):
     got = texts(spark, rows, limit=limit)
     assert got[0] == "Page 0 has words of its own here\nA sentence that some pages quote"
     assert all(got[i] == f"Page {i} has words of its own here" for i in range(12, 150))
+
+
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+def test_templates_longer_than_the_texts(spark, limit):
+    legal = "<div>" + "This long legal notice is longer than anything else on the page. " * 5 + "</div>"
+    rows = [(i, "http://c.example/p", f"<div>Home News Contact</div><p>Note {i}</p>{legal}") for i in range(30)]
+    rows += [(100 + i, "http://d.example/p", f"<div>Home</div><div>One text, copied often</div>{legal}") for i in range(30)]
+    got = texts(spark, rows, limit=limit)
+    assert all(got[i] == f"Note {i}" for i in range(30))
+    assert all("One text, copied often" in got[100 + i] for i in range(30))

@@ -2,8 +2,8 @@
 
 A page is read into element subtrees.  Every block element gets a hash of its
 tags and text.  Spark counts, per host, in how many different pages each hash
-occurs; pages whose longest block is the same count as one, so copies of a
-page don't turn its article into a template.  Subtrees found in ``MIN_PAGES``
+occurs; pages with the same text besides the subtree count as one, so copies
+of a page don't turn its article into a template.  Subtrees found in ``MIN_PAGES``
 or more pages of a host, and in ``MIN_SHARE`` of its different pages, are
 deleted, and so is what its tag, role or class marks as not being the article.
 Nothing else of an article element is taken for a template, nor are paragraphs
@@ -205,8 +205,16 @@ class Page:
         self._flush()
         self._close_to(1)
 
-    def longest(self) -> int:
-        return xxh64_intdigest(max((t for t, _, _ in self.blocks), key=len, default="").encode("utf-8", "replace"))
+    def contents(self) -> tuple[int, dict[int, int]]:
+        """A hash of all blocks, and by subtree hash one of those outside such subtrees where that differs."""
+        whole, inside = 0, {}
+        for text, subtrees, _ in self.blocks:
+            value = xxh64_intdigest(text.encode("utf-8", "replace"))
+            whole += value
+            for h in {self.subtrees[i][2] for i in subtrees}:
+                inside[h] = inside.get(h, 0) + value
+        mask = (1 << 63) - 1
+        return whole & mask, {h: whole - part & mask for h, part in inside.items()}
 
     def _in_article(self, root: int) -> bool:
         return root >= 0 and self.roots[root] == "article"
@@ -218,9 +226,19 @@ class Page:
             return root < 0 and size >= MIN_CHARS
         return tag not in _ROOTS
 
+    def _recurring(self) -> set[int]:
+        return {h for tag, root, h, size in self.subtrees if size and self._may_recur(tag, root, size)}
+
     def candidates(self, host: str) -> set[int]:
         """Hashes, by host, of the subtrees that would be deleted if they recurred."""
-        return {_of_host(host, h) for tag, root, h, size in self.subtrees if size and self._may_recur(tag, root, size)}
+        return {_of_host(host, h) for h in self._recurring()}
+
+    def counted(self, host: str) -> Iterator[tuple[int | None, int]]:
+        """(hash by host, content of the page besides it) of those subtrees, and of none."""
+        whole, besides = self.contents()
+        yield None, whole
+        for h in self._recurring():
+            yield _of_host(host, h), besides.get(h, whole)
 
     def text(self, host: str, templates: set[int] | frozenset[int]) -> str:
         gone = {
@@ -260,11 +278,10 @@ def _candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hosts, hashes, contents = [], [], []
         for url, html in zip(batch["url"], batch["html"]):
             page, host = Page(html), host_of(url)
-            found = [*page.candidates(host), None]
-            content = page.longest() >> 1
+            found = list(page.counted(host))
             hosts.extend([_of_host(host, 0)] * len(found))
-            hashes.extend(found)
-            contents.extend([content] * len(found))
+            hashes.extend(h for h, _ in found)
+            contents.extend(content for _, content in found)
         yield pd.DataFrame({
             "host": pd.Series(hosts, dtype="int64"), "h": pd.Series(hashes, dtype="Int64"),
             "content": pd.Series(contents, dtype="int64"),

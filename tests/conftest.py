@@ -19,8 +19,3 @@ def spark(tmp_path_factory):
     })
     yield session
     session.stop()
-
-
-def rows(df):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is None, str(v)) for v in r])

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tintero.functions import dates

@@ -2,7 +2,7 @@ import random
 from datetime import date
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from tintero import lexicon
 from tintero.operators import dimensions, joins

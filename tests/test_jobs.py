@@ -4,7 +4,7 @@ from collections import Counter
 from datetime import date, timedelta
 
 import pytest
-from conftest import rows
+from frames import rows
 
 import model
 from pyspark.sql import functions as F

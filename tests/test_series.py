@@ -2,7 +2,7 @@ import random
 from datetime import date, timedelta
 
 import pytest
-from conftest import rows
+from frames import rows
 
 import model
 from tintero.operators import series

@@ -3,7 +3,7 @@ import random
 
 import pandas as pd
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from tintero import lexicon

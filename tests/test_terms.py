@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from frames import rows
 
 import model
 from tintero.config import TokenRules

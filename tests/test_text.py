@@ -2,7 +2,7 @@ import re
 import unicodedata
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 import model

@@ -6,7 +6,7 @@ import brute
 import duckdb
 import public_tokenizers
 import pytest
-from conftest import edge_rows
+from edges import edge_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,13 @@ def join_small(
     return large.join(small, list(on), how)
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows, so that only a slice of the texts exists as Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give this package to the Python workers, which may not find it by themselves.  Once per application."""
     app = spark.sparkContext.applicationId

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tintero.llm import bpe, chat, decontaminate, exact, html, lines, simhash, toxicity, warc, windows
+from tintero.llm import bpe, chat, decontaminate, divergence, exact, filters, html, lines, simhash, toxicity, warc, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -161,3 +161,71 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = windows.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", hex_sha256("kept").alias("kept_sha256"))
+
+
+@register(
+    "op11_source_divergence",
+    r"""WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text,
+      row_number() OVER () AS doc FROM documents),
+    t AS (SELECT lang, source, doc, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    k AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+    a AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN k USING (lang)
+      LEFT JOIN c USING (lang, source, term)),
+    p AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER w + 5 * count(*) OVER w) AS p
+      FROM a WINDOW w AS (PARTITION BY lang, source)),
+    l AS (SELECT lang, term, sum(n) AS n FROM a GROUP BY lang, term),
+    q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER w + 5 * count(*) OVER w) AS q
+      FROM l WINDOW w AS (PARTITION BY lang)),
+    m AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y USING (lang, term)
+      WHERE x.source <> y.source GROUP BY ALL),
+    r AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(m.value, 0) AS BIGINT) AS value
+      FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+      LEFT JOIN m ON m.lang = x.lang AND m.source = x.source AND m.item = y.source
+      UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p JOIN q USING (lang, term)
+      WHERE n > 0 AND p > q),
+    s AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+      FROM r)
+    SELECT * FROM s WHERE part = 'pair' OR rank <= 50""",
+)
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+@register(
+    "op13_filter_interactions",
+    r"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+      min(doc_id) OVER (PARTITION BY text) AS least FROM d),
+    b AS (SELECT doc_id, part, CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+      + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+      + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text) THEN 4 ELSE 0 END
+      + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+      + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS mask FROM w),
+    l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+    c AS (SELECT part, mask, coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic, count(*) AS n
+      FROM b LEFT JOIN l USING (doc_id) GROUP BY ALL),
+    f AS (SELECT chr(65 + CAST(i AS INTEGER)) AS letter, CAST(1 << i AS INTEGER) AS bit FROM range(5) r(i)),
+    o AS (SELECT v.letter || w.letter || x.letter || y.letter || z.letter AS filter_order FROM f v, f w, f x, f y, f z
+      WHERE (v.bit | w.bit | x.bit | y.bit | z.bit) = 31),
+    e AS (SELECT filter_order, CAST(step AS INTEGER) AS step, f.letter, f.bit,
+      (SELECT coalesce(bit_or(g.bit), 0) FROM f g WHERE instr(filter_order, g.letter) < step) AS before
+      FROM o, range(1, 6) s(step), f WHERE f.letter = substr(filter_order, step, 1)),
+    t AS (SELECT part, filter_order, step, letter,
+      sum(n) FILTER (mask & (before | bit) = 0) AS kept,
+      sum(n) FILTER (mask & before = 0 AND mask & bit <> 0) AS removed,
+      sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0) AS redundant,
+      sum(n) FILTER (mask = bit) AS unique_fails,
+      sum(n) FILTER (mask & before = 0 AND mask & bit <> 0 AND good) AS good_lost,
+      sum(n) FILTER (mask & before = 0 AND mask & bit <> 0 AND toxic) AS toxic_lost
+      FROM c, e GROUP BY ALL)
+    SELECT part, filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+      CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+      CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+      CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+      CAST(coalesce(sum(removed) OVER (PARTITION BY part, letter), 0) AS BIGINT) AS shapley FROM t""",
+)
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.filter_interactions(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tintero.session import materialize
+
 #: The white space of the contracts: blank and the characters 9 to 13.
 SPACES = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -18,6 +20,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Largest side, in bytes, that a join sends to every executor.
 BROADCAST_BYTES = 32 << 20
 
+#: Rows of one key, above which a shuffled join deals them to several tasks.
+HOT_GROUP = 50_000
+
 _SHIPPED: set[str] = set()
 
 
@@ -46,6 +51,30 @@ def join_small(
     return large.join(small, list(on), how)
 
 
+def join_spread(
+    large: DataFrame, small: DataFrame, on: Sequence[str], row_bytes: int, how: str = "inner", hot: int = HOT_GROUP
+) -> DataFrame:
+    """Inner or left join with ``small``, a stored table with one row per key, that no key can overload.
+
+    Broadcast if the counted rows are within the limit.  Otherwise keys of more
+    than ``hot`` rows are counted; their rows are dealt to pieces of about that
+    size by a hash of the row, and the key's row is repeated for each piece.
+    """
+    on = list(on)
+    if small.count() * row_bytes <= BROADCAST_BYTES:
+        return large.join(F.broadcast(small), on, how)
+    counts = large.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > hot)
+    many = materialize(counts.select(*on, F.ceil(F.col("_n") / hot).alias("_pieces")), "hot-keys")
+    if many.isEmpty():
+        return large.join(small, on, how)
+    pieces = F.coalesce("_pieces", F.lit(1))
+    dealt = join_small(large, many, on, "left", 64)
+    dealt = dealt.withColumn("_piece", F.pmod(F.xxhash64(*large.columns), pieces)).drop("_pieces")
+    repeated = join_small(small, many, on, "left", 64)
+    repeated = repeated.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))).drop("_pieces")
+    return dealt.join(repeated, [*on, "_piece"], how).drop("_piece")
+
+
 def sliced(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The batches in slices of few rows, so that only a slice of the texts exists as Python objects at a time."""
     for batch in batches:

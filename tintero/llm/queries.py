@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tintero.llm import bpe, chat, decontaminate, divergence, exact, filters, html, lines, simhash, toxicity, warc, windows
+from tintero.llm import bpe, chat, decontaminate, divergence, exact, filters, html, jaccard, lines, simhash, toxicity, warc, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -194,6 +194,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
 
 
+@register("op12_ngram_jaccard")
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 @register(
     "op13_filter_interactions",
     r"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),

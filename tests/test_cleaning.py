@@ -5,7 +5,7 @@ from frames import rows
 from pyspark.sql import functions as F
 
 from tintero.functions import dates
-from tintero.operators import cleaning
+from tintero.operators import cleaning, date_formats
 
 SCHEMA = "article_id bigint, title string, body string, source string, publish_date string, ingest_seq bigint"
 RAW = [
@@ -125,3 +125,39 @@ def test_profile_size_and_head(spark):
 def test_empty_input_stays_typed(spark):
     empty = cleaning.clean_articles(spark.createDataFrame([], SCHEMA))
     assert empty.collect() == [] and dict(empty.dtypes)["publish_date"] == "date"
+
+
+def elected(spark, values, **options):
+    return date_formats.elect_format(spark.createDataFrame([(v,) for v in values], "d string"), "d", **options)
+
+
+@pytest.mark.parametrize(
+    "values, want",
+    [
+        (["2023-01-05", "2023-1-6", None], "yyyy-M-d"),
+        (["05/01/2023", "25/01/2023", "nope", ""], "d/M/yyyy"),
+        (["01/05/2023", "01/25/2023 10:00:00", "x"], "M/d/yyyy"),
+        (["01/05/2023", "02/06/2023"], "M/d/yyyy"),  # either order reads both
+        (["5.1.2023", "31.12.2022T08:00"], "d.M.yyyy"),
+        (["20230105"], "yyyyMMdd"),
+        (["Jan 5, 2023", "Dec 31, 2022"], "MMM d, yyyy"),
+        (["13/13/2023", "x", None], None),
+        ([], None),
+    ],
+)
+def test_elected_format(spark, values, want):
+    assert elected(spark, values) == want
+
+
+def test_scores_count_rows_not_values(spark):
+    df = spark.createDataFrame([("05/01/2023",)] * 3 + [("25/01/2023",), ("01/25/2023",), ("01/02/0023",)], "d string")
+    scores = {r["format"]: tuple(r)[2:] for r in date_formats.format_scores(df, "d").collect()}
+    assert scores["d/M/yyyy"] == (5, 4, 4) and scores["M/d/yyyy"] == (5, 4, 4) and scores["yyyyMMdd"] == (0, 0, 0)
+
+
+def test_articles_with_day_first_dates(spark):
+    found = [(i, "t", "b", "s", f"{i:02d}/02/2023", i) for i in range(1, 29)] + [(90, "t", "b", "s", "sin fecha", 90)]
+    raw = spark.createDataFrame(found, SCHEMA)
+    got = cleaning.clean_articles(raw, date_formats=None)
+    assert sorted((r["article_id"], r["publish_date"]) for r in got.collect()) == [(i, date(2023, 2, i)) for i in range(1, 29)]
+    assert cleaning.clean_articles(raw).count() == 0

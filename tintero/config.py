@@ -27,8 +27,8 @@ class WarehouseConfig:
     placeholders: Mapping[str, str] = field(default_factory=lambda: lexicon.PLACEHOLDERS)
     title_weight: int = 3
     id_type: str = "bigint"
-    #: formats of publish dates that are tried after the ISO one
-    date_formats: tuple[str, ...] = ()
+    #: formats of publish dates that are tried after the ISO one; None elects one from all dates
+    date_formats: tuple[str, ...] | None = None
     #: raise instead of only reporting when a validation fails
     fail_on_invalid: bool = False
 

@@ -9,14 +9,28 @@ _ISO_DAY = r"^\s*(\d{4}-\d{1,2}-\d{1,2})([ T].*)?$"
 
 
 def lenient_date(c: Column, formats: tuple[str, ...] = ()) -> Column:
-    """Day of an ISO date, as written, or of one of ``formats``; else null.
+    """Day of an ISO date, as written, or of the first of ``formats`` that reads it; else null.
 
-    A time of day and a zone after an ISO date are dropped, so neither shifts the day.
+    A time of day and a zone after a date are dropped, so neither shifts the day.
     """
     text = c.cast("string")
     parsed = F.when(F.rlike(text, F.lit(_ISO_DAY)), F.try_to_timestamp(F.regexp_extract(text, _ISO_DAY, 1)))
-    others = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
-    return F.coalesce(parsed, *others).cast("date") if others else parsed.cast("date")
+    others = [parsed_day(day_text(text), f) for f in formats]
+    return F.coalesce(parsed.cast("date"), *others) if others else parsed.cast("date")
+
+
+#: A time of day after a date, with whatever follows it.
+_TIME = r"[T ]+\d{1,2}:\d{2}.*$"
+
+
+def day_text(c: Column) -> Column:
+    """The part of a date text before its time of day, without outer blanks; null if nothing is left."""
+    return F.nullif(F.trim(F.regexp_replace(c.cast("string"), f"(?s){_TIME}", "")), F.lit(""))
+
+
+def parsed_day(text: Column, name: str) -> Column:
+    """The day that ``text`` names under the format ``name``, null if it names none."""
+    return F.try_to_timestamp(text, F.lit(name)).cast("date")
 
 
 def day_key(day: Column) -> Column:

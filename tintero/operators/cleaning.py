@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tintero import lexicon
 from tintero.functions import dates
+from tintero.operators.date_formats import elect_format
 from tintero.operators.joins import fits_broadcast
 from tintero.session import materialize
 
@@ -31,26 +32,25 @@ def keep_last_narrow(
 ) -> DataFrame:
     """:func:`keep_last` for wide rows with few repeated keys, without shuffling the rows.
 
-    A narrow aggregate finds the repeated keys and stores them.  If there are few
-    (counted) and no two rows tie for the last place, they are broadcast and older
-    copies are dropped where they are read; otherwise the window form is used.
-    Both give the same rows.  ``df`` should be a stored table.
+    A narrow aggregate finds the repeated keys, their last place and how many
+    rows tie for it, and stores them.  If they are few (counted) and nothing
+    ties, they are broadcast and older copies are dropped where they are read;
+    otherwise the window form is used.  Both give the same rows.  ``df`` should
+    be a stored table.
     """
+    places = df.groupBy(F.col(key).alias("_key"), F.col(order).alias("_order")).agg(F.count("*").alias("_ties"))
     repeated = materialize(
-        df.groupBy(F.col(key).alias("_key"))
-        .agg(F.max(order).alias("_last"), F.count("*").alias("_n"))
+        places.groupBy("_key")
+        .agg(F.max_by(F.struct("_order", "_ties"), F.struct(F.col("_order"))).alias("_at"), F.sum("_ties").alias("_n"))
         .where("_n > 1")
-        .select("_key", "_last"),
+        .select("_key", F.col("_at._order").alias("_last"), F.col("_at._ties").alias("_ties")),
         "repeated-keys",
     )
-    if not fits_broadcast(repeated, max_broadcast_rows):
+    if not fits_broadcast(repeated, max_broadcast_rows) or not repeated.where("_ties > 1").isEmpty():
         return keep_last(df, [key], [order])
     same_key = F.col(key).eqNullSafe(F.col("_key"))
     is_last = F.col(order).eqNullSafe(F.col("_last"))
-    last_places = df.select(key, order).join(F.broadcast(repeated), same_key & is_last)
-    if not last_places.groupBy("_key").count().where("count > 1").isEmpty():
-        return keep_last(df, [key], [order])
-    return df.join(F.broadcast(repeated), same_key & ~is_last, "left_anti")
+    return df.join(F.broadcast(repeated.drop("_ties")), same_key & ~is_last, "left_anti")
 
 
 def fill_missing(df: DataFrame, placeholders: Mapping[str, str] = lexicon.PLACEHOLDERS) -> DataFrame:
@@ -70,13 +70,17 @@ def clean_articles(
     order: str = "ingest_seq",
     placeholders: Mapping[str, str] = lexicon.PLACEHOLDERS,
     narrow: bool = True,
-    date_formats: tuple[str, ...] = (),
+    date_formats: tuple[str, ...] | None = (),
 ) -> DataFrame:
     """Keep the last copy of each article, fill gaps, keep dated articles.
 
     The order is part of the contract: an article whose last copy has no valid
-    date disappears even if an earlier copy had one.
+    date disappears even if an earlier copy had one.  With ``date_formats``
+    None the format is elected from all dates of ``raw``, copies included.
     """
+    if date_formats is None:
+        elected = elect_format(raw, "publish_date")
+        date_formats = () if elected is None else (elected,)
     last = keep_last_narrow(raw, key, order) if narrow else keep_last(raw, [key], [order])
     return dated_only(fill_missing(last, placeholders), formats=date_formats)
 

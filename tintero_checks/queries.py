@@ -16,8 +16,10 @@ from tintero import lexicon
 from tintero.config import TokenRules
 from tintero.functions import dates, text
 from tintero.operators import (
+    alias_table,
     classify,
     cleaning,
+    date_formats,
     dimensions,
     joins,
     quality,
@@ -287,6 +289,58 @@ def lenient_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.dated_only(raw_articles(spark, sf_dir).select("ingest_seq", "publish_date"))
 
 
+_DATE_FORMATS = {"yyyy-M-d": "%Y-%m-%d", "M/d/yyyy": "%m/%d/%Y", "d/M/yyyy": "%d/%m/%Y", "d.M.yyyy": "%d.%m.%Y"}
+_READ = ", ".join(f"sum((try_strptime(d, '{f}') IS NOT NULL)::INT) AS f{i}" for i, f in enumerate(_DATE_FORMATS.values()))
+_BEST = "CASE greatest(f0, f1, f2, f3) " + " ".join(f"WHEN f{i} THEN '{f}'" for i, f in enumerate(_DATE_FORMATS.values())) + " END"
+
+_AS_ELECTED = " ".join(f"WHEN '{f}' THEN try_strptime(d, '{f}')" for f in _DATE_FORMATS.values())
+
+
+def _elected_sql(name: str, pattern: str) -> str:
+    return f"""{name}_d AS (SELECT doc_id, CASE WHEN source = 'src5' THEN 'sin fecha' ELSE
+      strftime(DATE '2023-01-01' + CAST(doc_id % 365 AS INTEGER), '{pattern}') || CASE WHEN doc_id % 3 = 0 THEN ' 08:30:00' ELSE '' END
+      END AS whole, split_part(whole, ' 08', 1) AS d FROM documents),
+    {name}_f AS (SELECT {_BEST} AS best FROM (SELECT {_READ} FROM {name}_d)),
+    {name} AS (SELECT doc_id, CAST(CASE best {_AS_ELECTED} END AS DATE) AS day FROM {name}_d, {name}_f)"""
+
+
+@register(
+    "elected_date_formats",
+    f"""WITH {_elected_sql("a", "%d/%m/%Y")}, {_elected_sql("b", "%m/%d/%Y")}, {_elected_sql("c", "%d.%m.%Y")}
+    SELECT doc_id, a.day AS day_first, b.day AS month_first, c.day AS dotted
+    FROM a JOIN b USING (doc_id) JOIN c USING (doc_id)""",
+)
+def elected_date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_add(F.lit("2023-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
+    late = F.when(F.col("doc_id") % 3 == 0, F.lit(" 08:30:00")).otherwise("")
+    written = {"day_first": "dd/MM/yyyy", "month_first": "MM/dd/yyyy", "dotted": "dd.MM.yyyy"}
+    docs = table(spark, sf_dir, "documents").select("doc_id", *[
+        F.when(F.col("source") == "src5", F.lit("sin fecha")).otherwise(F.concat(F.date_format(day, f), late)).alias(c)
+        for c, f in written.items()
+    ])
+    for column in written:
+        elected = date_formats.elect_format(docs, column)
+        docs = docs.withColumn(column, dates.lenient_date(F.col(column), (elected,)))
+    return docs
+
+
+_FORMATS_SQL = " UNION ALL ".join(
+    f"""SELECT '{java}' AS format, {i} AS place, sum((try_strptime(d, '{f}') IS NOT NULL)::INT)::BIGINT AS parsed,
+    sum((try_strptime(d, '{f}') IS NOT NULL)::INT)::BIGINT AS plausible,
+    sum(({"try_strptime(d, '%m/%d/%Y') IS NOT NULL AND try_strptime(d, '%d/%m/%Y') IS NOT NULL" if "/" in java else "false"})::INT)::BIGINT
+    AS ambiguous FROM a_d"""
+    for i, (java, f) in enumerate(_DATE_FORMATS.items())
+)
+
+
+@register("date_format_scores", f"WITH {_elected_sql('a', '%d/%m/%Y')} {_FORMATS_SQL}")
+def date_format_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_add(F.lit("2023-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
+    text_ = F.when(F.col("source") == "src5", F.lit("sin fecha")).otherwise(F.date_format(day, "dd/MM/yyyy"))
+    docs = table(spark, sf_dir, "documents").select(text_.alias("d"))
+    return date_formats.format_scores(docs, "d", list(_DATE_FORMATS))
+
+
 _RAW_COLUMNS = ("article_id", "title", "body", "source", "publish_date", "ingest_seq")
 
 
@@ -525,6 +579,51 @@ def region_vote_default_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _voted(spark, sf_dir, lexicon.REGION_ALIASES, lexicon.UNKNOWN_REGION)
 
 
+def _by_table(spark: SparkSession, sf_dir: str, aliases, unknown: int) -> DataFrame:
+    rows = [(key, alias, place) for key, names in aliases.items() for place, alias in enumerate(names)]
+    table_ = spark.createDataFrame(rows, "class_id int, alias string, place int")
+    return alias_table.vote_by_table(_folded(spark, sf_dir), table_, unknown)
+
+
+@register("region_vote_by_alias_table", f"WITH {A}, {sql.voted(SHARED_MARKERS, UNKNOWN)} {_VOTED}")
+def region_vote_by_alias_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_table(spark, sf_dir, SHARED_MARKERS, UNKNOWN)
+
+
+_TERM_ALIASES = """marked AS (
+  SELECT article_id, lower(strip_accents(title)) AS t, lower(strip_accents(body)) AS b FROM articles),
+grams AS (SELECT article_id, 3 AS weight, unnest(regexp_extract_all(t, '[a-z]+')) AS term FROM marked
+  UNION ALL SELECT article_id, 1, unnest(regexp_extract_all(b, '[a-z]+')) FROM marked),
+known AS (SELECT term FROM grams WHERE length(term) BETWEEN 4 AND 24 GROUP BY term
+  HAVING count(DISTINCT article_id) BETWEEN 3 AND 200),
+aliases AS (SELECT term, CAST(1 + ascii(term) * 7 % 13 * 100 + length(term) AS INTEGER) AS class_id FROM known),
+scores AS (SELECT article_id, class_id, sum(weight) AS score FROM grams JOIN aliases USING (term) GROUP BY ALL)"""
+
+
+@register(
+    "region_vote_by_corpus_aliases",
+    f"""WITH articles AS (SELECT doc_id AS article_id, regexp_replace(split_part(text, chr(10), 1), '[^ -~]', ' ', 'g') AS title,
+      regexp_replace(CASE WHEN contains(text, chr(10)) THEN substr(text, strpos(text, chr(10)) + 1) ELSE '' END,
+        '[^ -~]', ' ', 'g') AS body FROM documents),
+    words AS (SELECT article_id, regexp_replace(title, '[^A-Za-z]', ' ', 'g') AS title,
+      regexp_replace(body, '[^A-Za-z]', ' ', 'g') AS body FROM articles),
+    {_TERM_ALIASES.replace("FROM articles", "FROM words")}
+    SELECT article_id, coalesce((SELECT min(class_id) FROM scores s WHERE s.article_id = w.article_id AND s.score =
+      (SELECT max(score) FROM scores x WHERE x.article_id = w.article_id)), 9999) AS region_id FROM words w""",
+)
+def region_vote_by_corpus_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of aliases, taken from the corpus itself, in hundreds of classes."""
+    plain = text_articles(spark, sf_dir).select(
+        "article_id",
+        *[F.lower(F.regexp_replace(F.regexp_replace(c, "[^ -~]", " "), "[^A-Za-z]", " ")).alias(c) for c in ("title", "body")],
+    )
+    terms_ = plain.select("article_id", F.explode(F.regexp_extract_all(F.concat_ws(" ", "title", "body"), F.lit("[a-z]+"), F.lit(0))).alias("alias"))
+    known = terms_.where(F.char_length("alias").between(4, 24)).distinct().groupBy("alias").agg(F.count("*").alias("n"))
+    class_id = (1 + F.ascii("alias") * 7 % 13 * 100 + F.char_length("alias")).cast("int")
+    aliases = known.where(F.col("n").between(3, 200)).select("alias", class_id.alias("class_id"))
+    return alias_table.vote_by_table(plain, aliases, 9999, title="title", body="body")
+
+
 # ---------------------------------------------------------------- fact
 
 _FACT = sql.fact(MARKERS_APART, UNKNOWN)

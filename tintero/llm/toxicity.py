@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tintero.llm.common import ship_package, text_or_empty
+from tintero.session import materialize
 
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
@@ -176,12 +177,14 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 
 
 def train(rows: DataFrame) -> Broadcast:
-    """The fitted model, sent to the executors.  ``rows`` is bounded by the sample; one task fits them.
+    """The fitted model, sent to the executors.  ``rows`` is bounded by the sample and stored; one task fits them.
 
     Rows of one label only, or none, give a model without evidence.
     """
     spark = rows.sparkSession
     ship_package(spark)
+    # stored first, so that the documents are read in parallel and the one task meets the sample alone
+    rows = materialize(rows, "sample")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         every = sorted((t, y) for batch in batches for t, y in zip(batch["text"], batch["toxic"]))

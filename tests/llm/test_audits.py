@@ -200,11 +200,11 @@ class _State:
 
 
 def test_a_smaller_id_retracts_what_was_entered_before():
-    state, columns = _State(), ["id", "part", "mask", "good", "toxic", "n"]
+    state, columns = _State(), ["key", "id", "part", "mask", "good", "toxic", "n"]
 
     def arrive(*rows):
-        frame = filters.pd.DataFrame(rows, columns=columns)
-        return [tuple(r) for f in filters._retract((b"text", None), [frame], state) for r in f.itertuples(index=False)]
+        frame = filters.pd.DataFrame([(b"text", *r) for r in rows] + [(b"other", 5, "en", 0, False, False, 1)], columns=columns)
+        return [tuple(r) for f in filters._retract((3,), [frame], state) for r in f.itertuples(index=False)]
 
     assert arrive((9, "en", 2, True, False, 1)) == []
     assert arrive((12, "de", 2, False, False, 1)) == [("de", 2, False, False, -1), ("de", 18, False, False, 1)]

@@ -3,7 +3,8 @@
 Whether a text has a smaller copy elsewhere is known only when all files have
 been read, so files are processed as a stream of available-now micro-batches.
 A document is counted at once as the first of its text.  State keyed by the
-text's digest holds the least id met so far and what was counted for it.  When
+text's digest, in buckets of bounded size, holds the least id met so far and
+what was counted for it.  When
 a smaller id arrives, the earlier count is retracted and entered again with the
 copy filter's bit; when a larger one arrives, that one's is.  The counters of a
 part are the sums of this log of entries and retractions.
@@ -35,13 +36,19 @@ FILTERS = "ABCDE"
 COPY = 1 << FILTERS.index("E")
 #: Least number of micro-batches that the files are dealt to, most bytes of one, and of the input that a state partition serves.
 BATCHES, BATCH_BYTES, STATE_BYTES = 3, 1 << 40, 64 << 20
+#: Bytes of input whose texts share one state: a call of the state function costs more than many of its rows.
+BUCKET_BYTES = 1 << 20
 #: Texts that a task holds before it passes them on.
 HELD_TEXTS = 50_000
 
 _UPPER, _SYMBOLS = bytes(range(0x41, 0x5B)), b"#$%&*|"
 _ENTRY = "part string, mask int, good boolean, toxic boolean, n long"
-_KEYED = f"key binary, id long, {_ENTRY}"
-_STATE = "id long, mask int, held string"
+_KEYED = "key binary, id long, mask int, part string, good boolean, toxic boolean, n long"
+_STATE = "texts binary"
+_SCHEMA = pa.schema([
+    ("key", pa.binary()), ("id", pa.int64()), ("mask", pa.int32()), ("part", pa.string()),
+    ("good", pa.bool_()), ("toxic", pa.bool_()), ("n", pa.int64()),
+])
 
 
 def failed(text: bytes, code_points: int) -> int:
@@ -65,24 +72,19 @@ def _first_entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """
     entered: Counter = Counter()
     least: dict[bytes, tuple[int, int, Counter]] = {}
-    schema = pa.schema([
-        ("key", pa.binary()), ("id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()),
-        ("good", pa.bool_()), ("toxic", pa.bool_()), ("n", pa.int64()),
-    ])
-
     def passed_on() -> Iterator[pa.RecordBatch]:
         rows = []
         for key, (doc_id, mask, held) in least.items():
-            rows += [(key, doc_id, part, mask, good, toxic, n) for (part, good, toxic), n in held.items()]
+            rows += [(key, doc_id, mask, *row, n) for row, n in held.items()]
             for (part, good, toxic), n in held.items():
-                entered[part, mask, good, toxic] += n
+                entered[mask, part, good, toxic] += n
         # entries need no state; keys of their own spread them
         rows += [(None, i, *entry, n) for i, (entry, n) in enumerate(entered.items())]
         least.clear()
         entered.clear()
         if rows:
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)]
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
 
     for batch in sliced(batches):
         lengths = pc.utf8_length(batch.column("text")).to_pylist()
@@ -95,15 +97,15 @@ def _first_entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             mask = failed(data, length) if earlier is None else earlier[1]
             row = (part, good, toxic)
             if doc_id is None:
-                entered[part, mask, good, toxic] += 1
+                entered[mask, part, good, toxic] += 1
             elif earlier is None or doc_id < earlier[0]:
                 for (p, g, t), n in earlier[2].items() if earlier else ():
-                    entered[p, mask | COPY, g, t] += n
+                    entered[mask | COPY, p, g, t] += n
                 least[key] = (doc_id, mask, Counter([row]))
             elif doc_id == earlier[0]:
                 earlier[2][row] += 1
             else:
-                entered[part, mask | COPY, good, toxic] += 1
+                entered[mask | COPY, part, good, toxic] += 1
         if len(least) > HELD_TEXTS:
             yield from passed_on()
     yield from passed_on()
@@ -115,30 +117,47 @@ def _moved(rows: Counter, mask: int) -> list[tuple]:
     return taken + [(p, mask | COPY, g, t, n) for (p, g, t), n in rows.items()]
 
 
+def _stored(texts: dict[bytes, tuple[int, int, Counter]]) -> bytes:
+    """The texts of a state as an Arrow table, a row for each kind of row counted as first."""
+    rows = [(key, at, mask, *row, n) for key, (at, mask, held) in texts.items() for row, n in held.items()]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _SCHEMA) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _restored(data: bytes) -> dict[bytes, tuple[int, int, Counter]]:
+    texts: dict[bytes, tuple[int, int, Counter]] = {}
+    with pa.ipc.open_stream(data) as reader:
+        for batch in reader:
+            for key, at, mask, part, good, toxic, n in zip(*(c.to_pylist() for c in batch.columns)):
+                texts.setdefault(key, (at, mask, Counter()))[2][part, good, toxic] += n
+    return texts
+
+
 def _retract(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Log rows that one text's arrivals cause; entries (null text key) pass as they are."""
+    """Log rows that the arrivals of a bucket of texts cause; entries (no text key) pass as they are."""
     columns = ["part", "mask", "good", "toxic", "n"]
-    if key[0] is None:
-        for frame in frames:
-            yield frame[columns]
-        return
-    at, mask, held = None, 0, Counter()
-    if state.exists:
-        at, mask, told = state.get
-        held = Counter({(p, g, t): n for p, g, t, n in json.loads(told)})
-    before, log = (at, sum(held.values())), []
+    texts = _restored(state.get[0]) if state.exists else {}
+    changed, log = False, []
     for frame in frames:
-        for doc_id, part, row_mask, good, toxic, n in zip(*(frame[c].tolist() for c in ["id", *columns])):
+        for text, doc_id, *entry in zip(*(frame[c].tolist() for c in ["key", "id", *columns])):
+            if text is None:
+                log.append(tuple(entry))
+                continue
+            part, row_mask, good, toxic, n = entry
             arrived = Counter({(part, good, toxic): n})
+            at, mask, held = texts.get(text, (None, 0, Counter()))
             if at is None or doc_id < at:
                 log += _moved(held, mask)
-                at, mask, held = doc_id, row_mask, arrived
+                texts[text], changed = (doc_id, row_mask, arrived), True
             elif doc_id == at:
-                held += arrived
+                texts[text], changed = (at, mask, held + arrived), True
             else:
                 log += _moved(arrived, row_mask)
-    if before != (at, sum(held.values())):
-        state.update((at, mask, json.dumps([[*row, n] for row, n in held.items()])))
+    if changed:
+        state.update((_stored(texts),))
     if log:
         yield pd.DataFrame(log, columns=columns)
 
@@ -192,8 +211,9 @@ def part_counters(spark: SparkSession, path: str, labels: DataFrame, batches: in
     stream = stream.withColumns({c: F.coalesce(c, no) for c in ("good", "toxic")})
     keyed = stream.select("doc_id", "part", "text", "good", "toxic").mapInArrow(_first_entries, _KEYED)
     # entries have no text: a hash of the entry and its place spreads them
-    keyed = keyed.withColumn("spread", F.when(F.col("key").isNull(), F.pmod(F.xxhash64("part", "mask", "id"), F.lit(64))))
-    log = keyed.groupBy("key", "spread").applyInPandasWithState(
+    buckets = F.lit(max(1, -(-size // BUCKET_BYTES)))
+    keyed = keyed.withColumn("bucket", F.pmod(F.coalesce(F.xxhash64("key"), F.xxhash64("part", "mask", "id")), buckets))
+    log = keyed.groupBy("bucket").applyInPandasWithState(
         _retract, _ENTRY, _STATE, "append", GroupStateTimeout.NoTimeout
     )
     out = scratch_path(spark, "retractions")

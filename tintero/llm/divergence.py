@@ -176,7 +176,7 @@ def _price_segment(top: int):
                 else:
                     value = abs(int(shares[i][x[0]]) - int(shares[j][y[0]]))
                 value -= beyond * abs(int(shares[i][zero]) - int(shares[j][zero])) if beyond else 0
-                found += [("pair", a, sources[j], value), ("pair", sources[j], a, value)]
+                found.append(("pair", sources[j], a, value))
         for i, a in enumerate(sources):
             own = np.searchsorted(forest.leaves, counts[i])
             above = shares[i][own] - lang_shares[np.searchsorted(forest.leaves, counts[-1])]
@@ -222,7 +222,15 @@ def source_divergence(
     # similar counts become neighbours, and each range of terms is numbered in its own task
     ranged = sums.where(F.col("docs") >= min_docs).select("lang", "term", "lang_n")
     ranged = ranged.repartitionByRange("lang", F.desc("lang_n"), "term").sortWithinPartitions("lang", F.desc("lang_n"), "term")
-    kept = materialize(ranged.withColumn("id", F.monotonically_increasing_id()), "kept-terms")
+    ranged = materialize(
+        ranged.select("*", F.spark_partition_id().alias("range"), F.monotonically_increasing_id().alias("place")), "kept-terms"
+    )
+    # numbers without gaps, from the sizes of the ranges before: one row per range and language
+    ranges = ranged.groupBy("lang", "range").agg(F.min("place").alias("first"), F.count("*").alias("terms"))
+    before = Window.partitionBy("lang").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select("lang", "range", (F.coalesce(F.sum("terms").over(before), F.lit(0)) - F.col("first")).alias("shift"))
+    kept = join_small(ranged, materialize(ranges, "term-ranges"), ["lang", "range"], "inner", 64)
+    kept = kept.select("lang", "term", "lang_n", (F.col("place") + F.col("shift")).alias("id"))
 
     groups = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source")]).distinct()
     groups = materialize(groups, "groups")
@@ -250,6 +258,7 @@ def source_divergence(
 
     pairs = join_small(groups, groups.withColumnRenamed("source", "item"), ["lang"], "inner", 64).where("source <> item")
     summed = priced.where("part = 'pair'").groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    summed = summed.union(summed.select("lang", F.col("item"), F.col("source"), "value"))
     pairs = pairs.join(summed, ["lang", "source", "item"], "left").select(
         "lang", "source", F.lit("pair").alias("part"), "item", F.coalesce("value", F.lit(0).cast("long")).alias("value")
     )

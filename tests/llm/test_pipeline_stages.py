@@ -1,94 +1,118 @@
 """Stages of the corpus pipeline against plain versions."""
 
 import random
+from collections import defaultdict
 
 import brute
 import corpus_pipeline
-import pytest
+import duckdb
+import public_tokenizers
+from edges import edge_rows
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tintero.llm import simhash
+from tintero.llm import toxicity
 
 SMALL = "/root/testdata/sf0.001"
-WORDS = 5
 
 
-def shingles(text):
-    found = (text or "").lower().split()
-    return {tuple(found[i : i + WORDS]) for i in range(len(found) - WORDS + 1)} or ({tuple(found)} if found else set())
-
-
-def similar(a, b):
-    return len(a & b) >= 0.8 * len(a | b)
-
-
-def groups(docs):
-    """(id, smallest id of its group) per row, by comparing all pairs."""
-    sets = [shingles(t) for _, t in docs]
-    top = brute.components(sets, lambda a, b: similar(a, b) if a or b else True)
-    return [(i, min(d for (d, _), r in zip(docs, top) if r == root)) for (i, _), root in zip(docs, top)]
-
-
-def frame(spark, rows):
-    return spark.createDataFrame(rows, "doc_id long, text string")
-
-
-def edited(rng, base, places):
-    words = list(base)
-    for at in places:
-        words[at] = f"w{rng.getrandbits(40)}"
-    return " ".join(words)
-
-
-def star(seed, copies=40, size=240):
-    """A base text and copies similar to it, but not to each other."""
-    rng = random.Random(seed)
-    base = [f"b{seed}x{i}" for i in range(size)]
-    docs = [edited(rng, base, rng.sample(range(4, size - 4), 4)) for _ in range(copies)]
-    return docs[: copies // 2] + [" ".join(base)] + docs[copies // 2 :]
-
+def staged(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    n_chars = F.char_length("text").cast("long").alias("n_chars")
+    return frame.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("web").alias("source"), n_chars)
 
-def starry():
-    texts = [t for seed in range(4) for t in star(seed)]
-    rng = random.Random(9)
-    passage = " ".join(f"common{i}" for i in range(40))
-    texts += [" ".join(f"v{rng.getrandbits(40)}" for _ in range(80)) + " " + passage for _ in range(30)]
-    return list(enumerate(texts))
 
+def pairs(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
 
-@pytest.mark.parametrize("limits", [{}, {"hot_bucket": 4, "whole_bucket": 2, "open_pairs": 0}])
-def test_groups_of_a_base_and_copies_unlike_each_other(spark, limits):
-    docs = starry()
-    sets = [shingles(t) for _, t in docs[:41]]
-    assert sum(similar(a, b) for a in sets for b in sets if a is not b) < 41 * 8
-    found = simhash.similar_groups(frame(spark, docs), **limits)
-    assert sorted(tuple(r) for r in found.collect()) == sorted(groups(docs))
 
+def small_docs():
+    return duckdb.sql(f"select doc_id, text from '{SMALL}/documents.parquet'").fetchall()
 
-def long_pairs():
-    """Texts of more than 256 shingles in pairs just above and below 0.8: one inside the other, or of equal size."""
-    texts = []
-    for n, (size, of) in enumerate([(300, 353), (400, 471), (450, 511), (300, 375), (300, 376), (800, 1000), (800, 1001), (3000, 3751)]):
-        words = [f"i{n}x{i}" for i in range(of + WORDS - 1)]
-        texts += [" ".join(words[: size + WORDS - 1]), " ".join(words)]
-    for n, (size, other) in enumerate([(450, 50), (450, 51), (900, 100), (900, 101)]):
-        words = [f"e{n}x{i}" for i in range(size + other + WORDS - 1)]
-        texts += [" ".join(words[: size + WORDS - 1]), " ".join(words[other:])]
-    return list(enumerate(texts))
 
+def plain_near_dedup(docs):
+    """One row per group of fingerprints, the one with the smallest id, rows without an id last."""
+    prints = [brute.simhash(t, 3) for _, t in docs]
+    members = defaultdict(list)
+    for row, root in enumerate(brute.components(prints, lambda a, b: (a ^ b).bit_count() <= 2)):
+        members[root].append(row)
+    kept = {min(rows, key=lambda r: (docs[r][0] is None, docs[r][0] or 0, r)) for rows in members.values()}
+    return [docs[r] for r in sorted(kept)]
 
-def test_long_texts_just_above_and_below(spark):
-    docs = long_pairs()
-    sets = [shingles(t) for _, t in docs]
-    assert [similar(a, b) for a, b in zip(sets[::2], sets[1::2])] == [True] * 4 + [False, True, False, False] + [True, False] * 2
-    found = simhash.similar_groups(frame(spark, docs))
-    assert sorted(tuple(r) for r in found.collect()) == sorted(groups(docs))
 
+def test_near_dedup_keeps_one_of_each_group(spark):
+    rng = random.Random(4)
+    base = [f"word{i}" for i in range(300)]
+    docs = [(i, " ".join(w if rng.random() > 0.01 * (i % 3) else "other" for w in base)) for i in range(30, 0, -1)]
+    docs += small_docs() + [(50_000 + i, None) for i in range(3)]
+    left = corpus_pipeline.drop_near_duplicates(spark, staged(spark, docs), SMALL)
+    assert pairs(left) == sorted(plain_near_dedup(docs), key=str)
+    assert len(plain_near_dedup(docs)) < len(docs) - 20
 
-def staged(spark, rows):
-    frame_ = spark.createDataFrame(rows, "doc_id long, text string")
-    from pyspark.sql import functions as F
 
-    return frame_.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("web").alias("source"), F.char_length("text").cast("long").alias("n_chars"))
+def test_toxic_documents_go_and_all_others_stay(spark):
+    docs = small_docs() + [(None, None), (None, ""), (7, "plain words"), (7, "plain words")]
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    frame = staged(spark, docs)
+    model = toxicity.Model(*toxicity.train(toxicity.labelled(frame, labels)).value)
+    want = [(d, t) for d, t in docs if model.score(t or "")[0] < 0.5]
+    left = corpus_pipeline.drop_toxic(spark, frame, SMALL)
+    assert left.columns == list(corpus_pipeline.COLUMNS)
+    assert pairs(left) == sorted(want, key=str)
+
+
+def plain_lines(docs):
+    def key(line):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(brute.SPACE))
+
+    holders = defaultdict(set)
+    for doc_id, text in docs:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= 20:
+                holders[key(line)].add(-1 if doc_id is None else doc_id)
+    out = []
+    for doc_id, text in docs:
+        at = -1 if doc_id is None else doc_id
+        lines = (text or "").split("\n")
+        out.append((doc_id, "\n".join(x for x in lines if len(holders[key(x)]) < 3 or max(holders[key(x)]) == at)))
+    return out
+
+
+def test_repeated_lines_go_but_documents_stay(spark):
+    docs = small_docs() + [(d, t) for d, t in edge_rows()]
+    left = corpus_pipeline.drop_repeated_lines(spark, staged(spark, docs), SMALL)
+    assert pairs(left) == sorted(plain_lines(docs), key=str)
+    assert left.where(F.col("n_chars") != F.char_length("text")).isEmpty()
+
+
+def test_encoding_as_the_library_does(spark):
+    docs = [(d, t) for d, t in small_docs()[:60] + edge_rows()]
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    library.no_truncation()
+    library.no_padding()
+    want = [(d, library.encode(t or "", add_special_tokens=False).ids) for d, t in docs]
+    found = corpus_pipeline.encode(spark, staged(spark, docs), SMALL)
+    got = [(r.doc_id, list(memoryview(bytes(r.ids)).cast("I")), r.n_tokens, r.round_trip) for r in found.collect()]
+    assert sorted(((d, i) for d, i, _, _ in got), key=str) == sorted(want, key=str)
+    assert all(n == len(i) and whole for _, i, n, whole in got)
+
+
+def test_stages_of_no_documents(spark):
+    none = staged(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SMALL).collect() == []
+
+
+def test_run_applies_the_stages_in_order(spark):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "line_dedup", "simhash_near_dedup", "benchmark_decontamination", "bpe",
+    ]
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = spark.createDataFrame(stage(spark, docs, SMALL).collect() or [], docs.schema) if stage is not corpus_pipeline.encode else stage(spark, docs, SMALL)
+    columns = ["doc_id", "n_tokens", "ids_sha256", "round_trip"]
+    got = sorted(tuple(r) for r in corpus_pipeline.run(spark, SMALL).select(columns).collect())
+    assert got == sorted(tuple(r) for r in docs.select(columns).collect()) and len(got) > 100
 
 
 def test_near_dedup_decides_by_row(spark):

@@ -23,9 +23,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from xxhash import xxh3_128_digest, xxh64_intdigest
+from xxhash import xxh64_intdigest
 
-from tintero.llm.common import join_small, ship_package, text_or_empty
+from tintero.llm.common import join_small, join_spread, ship_package, text_or_empty
 from tintero.llm.graph import connected_components
 from tintero.session import materialize
 
@@ -203,6 +203,21 @@ def near_links(nodes: DataFrame, radius: int, tree_nodes: int = TREE_NODES) -> D
     return links
 
 
+def _groups(marked: DataFrame, radius: int, tree_nodes: int) -> DataFrame:
+    """(fp, first, group_size) per distinct fingerprint of the stored ``marked(fp, doc_id, row)``, stored.
+
+    ``first`` is the smallest (no_id, doc_id, row) of the group, so a row without an id comes last.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
+    nodes = materialize(marked.groupBy("fp").agg(first, F.count("*").alias("n")), "nodes")
+    roots = connected_components(near_links(nodes, radius, tree_nodes))
+    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = materialize(rooted.select("fp", "first", "n", F.coalesce("root", "fp").alias("root")), "rooted")
+    groups = rooted.groupBy("root").agg(F.min("first").alias("first"), F.sum("n").alias("group_size"))
+    named = join_spread(rooted.select("fp", "root"), materialize(groups, "groups"), ["root"], 64)
+    return materialize(named.select("fp", "first", "group_size"), "named-fingerprints")
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 3, radius: int = 2, tree_nodes: int = TREE_NODES, id_col: str = "doc_id"
 ) -> DataFrame:
@@ -215,243 +230,28 @@ def near_duplicates(
     """
     ship_package(docs.sparkSession)
     marked = docs.select(
-        F.col(id_col).alias("doc_id"), fingerprints(words)(text_or_empty()).alias("fp")
+        F.col(id_col).alias("doc_id"), fingerprints(words)(text_or_empty()).alias("fp"), F.lit(0).alias("row")
     )
     marked = materialize(marked, "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
-    nodes = materialize(nodes, "nodes")
-    roots = connected_components(near_links(nodes, radius, tree_nodes))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.select("fp", "first_id", "n", F.coalesce("root", "fp").alias("root"))
-    rooted = materialize(rooted, "rooted")
-    groups = rooted.groupBy("root").agg(
-        F.min("first_id").alias("component_id"), F.sum("n").alias("group_size")
-    )
-    of_value = rooted.select("fp", "root").join(groups, "root").drop("root")
+    groups = _groups(marked, radius, tree_nodes)
+    found = join_spread(marked.select("doc_id", "fp"), groups, ["fp"], 64)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return marked.join(of_value, "fp").select(
-        "doc_id", hexed.alias("fingerprint"), "component_id", "group_size"
+    return found.select(
+        "doc_id", hexed.alias("fingerprint"), F.col("first.doc_id").alias("component_id"), "group_size"
     )
 
 
-# ------------------------------------------------------------------ by similarity
-
-#: Rows that share a shingle, above which the shingle goes to the end of the order.
-HOT_BUCKET = 64
-#: Rows that share a shingle, up to which all their pairs are checked at once.
-WHOLE_BUCKET = 8
-#: Open pairs a row up to which buckets are finished pair by pair.
-OPEN_PAIRS = 16
-
-
-def shingle_hashes(text: bytes, words: int) -> np.ndarray:
-    """Hashes of a text's distinct shingles in rising (signed) order; none for a text without words."""
-    found = text.lower().split()
-    shingles = {b" ".join(s) for s in zip(*(found[i:] for i in range(words)))} or ({b" ".join(found)} - {b""})
-    hashes = np.fromiter((xxh64_intdigest(s, SEED) for s in shingles), np.uint64, len(shingles))
-    return np.unique(hashes.view(np.int64))
-
-
-def _shingles(words: int):
-    @F.pandas_udf("fp long, same binary, shingles array<long>")
-    def udf(texts: pd.Series) -> pd.DataFrame:
-        rows = [(fingerprint(t, words), shingle_hashes(t, words)) for t in (t.encode() for t in texts)]
-        prints = np.array([r[0] for r in rows], np.uint64).view(np.int64)
-        same = [xxh3_128_digest(r[1].tobytes()) for r in rows]
-        return pd.DataFrame({"fp": prints, "same": same, "shingles": [r[1] for r in rows]})
-
-    return udf
-
-
-def _prefix_keys(whole: DataFrame, similarity: float, hot_bucket: int) -> DataFrame:
-    """(row, n, pos, freq, token): the first shingles of each row of ``whole(row, n, shingles)``, in one order of all.
-
-    A pair of the similarity shares at least that part of either text's
-    shingles, so of the first n - ceil(similarity * n) + 1 it shares one,
-    whatever the order.  The order is by hash, with the shingles that too many
-    rows share at the end, the rarest first.
-    """
-    first = (F.col("n") - F.ceil(F.col("n") * F.lit(similarity) - F.lit(1e-9)) + 1).cast("int")
-    keys = whole.select("row", "n", F.posexplode(F.slice("shingles", F.lit(1), first)).alias("pos", "token"))
-    by_hash = keys.select("row", "n", "pos", F.lit(0).cast("long").alias("freq"), "token")
-
-    def counted(tokens: DataFrame) -> DataFrame:
-        return tokens.groupBy("token").agg(F.count("*").alias("freq")).where(F.col("freq") > hot_bucket)
-
-    def holders(hot: DataFrame) -> DataFrame:
-        held = join_small(keys, hot.select("token"), ["token"], "left_semi", 16)
-        return materialize(held.select("row").distinct(), "hot-rows")
-
-    def every(rows: DataFrame) -> DataFrame:
-        return join_small(whole, rows, ["row"], "left_semi", 16).select("row", "n", F.explode("shingles").alias("token"))
-
-    hot = materialize(counted(keys), "hot-prefix-shingles")
-    if hot.isEmpty():
-        return by_hash
-    order = counted(every(holders(hot))).union(hot).groupBy("token").agg(F.max("freq").alias("freq"))
-    order = materialize(order, "hot-shingles")
-    moved = holders(order)
-    tokens = join_small(every(moved), order, ["token"], "left", 24)
-    tokens = tokens.select("row", "n", F.struct(F.coalesce("freq", F.lit(0).cast("long")).alias("freq"), "token").alias("t"))
-    tokens = tokens.groupBy("row", "n").agg(F.sort_array(F.collect_list("t")).alias("tokens"))
-    again = tokens.select("row", "n", F.posexplode(F.slice("tokens", F.lit(1), first)).alias("pos", "t"))
-    return join_small(by_hash, moved, ["row"], "left_anti", 16).union(again.select("row", "n", "pos", "t.freq", "t.token"))
-
-
-def _buckets(keys: DataFrame, similarity: float) -> DataFrame:
-    """(token, row, n, pos, score, n_rows) of the shingles that several rows start with.
-
-    Of shingles with the same rows the first stands for all.  ``score`` is the
-    part of a row's first shingles that it shares; a text that others were
-    edited from has the highest.
-    """
-    shared = keys.groupBy("token").agg(F.count("*").alias("n_rows")).where("n_rows > 1").select("token")
-    shared = materialize(shared, "shared-shingles")
-    held = materialize(join_small(keys, shared, ["token"], "left_semi", 16), "shared-keys")
-    scores = held.groupBy("row").agg((F.count("*") / F.max("n")).alias("score"))
-    kinds = held.groupBy("token").agg(
-        F.min("freq").alias("freq"), F.count("*").alias("n_rows"),
-        F.bit_xor(F.xxhash64("row")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("b"),
-    )
-    kinds = kinds.groupBy("n_rows", "a", "b").agg(F.min(F.struct("freq", "token")).alias("t"))
-    kinds = materialize(kinds.select("t.token", "n_rows"), "row-sets")
-    held = join_small(held.select("token", "row", "n", "pos"), kinds, ["token"], "inner", 24)
-    return materialize(held.join(scores, "row"), "buckets")
-
-
-def _may_reach(similarity: float) -> Column:
-    """Whether what two rows hold from a shared shingle on suffices, were it the first they share."""
-    rest = F.least(F.col("u_n") - F.col("u_pos"), F.col("v_n") - F.col("v_pos"))
-    return rest * F.lit(1 + similarity) >= (F.col("u_n") + F.col("v_n")) * F.lit(similarity) - F.lit(1e-6)
-
-
-def _side(rows: DataFrame, name: str, *more: str) -> DataFrame:
-    return rows.select("token", F.col("row").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in ("n", "pos", *more)])
-
-
-def _stars(rows: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of each row with the chosen row of its bucket."""
-    chosen = firsts.select("token", F.col("first.row").alias("v"), F.col("first.n").alias("v_n"), F.col("first.pos").alias("v_pos"))
-    pairs = join_small(_side(rows, "u"), chosen, ["token"], "inner", 40).where(F.col("u") != F.col("v"))
-    return pairs.where(_may_reach(similarity)).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-
-
-def _firsts(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("token").agg(F.max(F.struct("score", "row", "n", "pos")).alias("first"))
-
-
-def _linked(pairs: DataFrame, shingles: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (u, v) of at least the similarity."""
-    pairs = materialize(pairs.distinct(), "candidates")
-    named = materialize(pairs.select(F.explode(F.array("u", "v")).alias("row")).distinct(), "candidate-rows")
-    held = materialize(join_small(shingles, named, ["row"], "left_semi", 16), "candidate-shingles")
-    a, b = (held.select(F.col("row").alias(c), F.col("shingles").alias(f"{c}_shingles")) for c in "uv")
-    shared = F.size(F.array_intersect("u_shingles", "v_shingles"))
-    united = F.size("u_shingles") + F.size("v_shingles") - F.col("shared")
-    both = pairs.join(a, "u").join(b, "v").withColumn("shared", shared)
-    return materialize(both.where(F.col("shared") >= united * F.lit(similarity)).select("u", "v"), "checked")
-
-
-def _marked(docs: DataFrame, words: int) -> DataFrame:
-    """(row, doc_id, fp, same, shingles) of ``docs(row, doc_id, text)``, stored."""
-    ship_package(docs.sparkSession)
-    marked = docs.select("row", "doc_id", _shingles(words)(text_or_empty()).alias("s")).select("row", "doc_id", "s.*")
-    return materialize(marked, "shingles")
-
-
-def _rooted(
-    marked: DataFrame, similarity: float, radius: int, tree_nodes: int,
-    hot_bucket: int, whole_bucket: int, open_pairs: int,
-) -> DataFrame:
-    """(same, first, root) per distinct text: its first row by id, a null id last, and the name of its group."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
-    classes = marked.groupBy("same").agg(F.min("row").alias("row"), first)
-    classes = materialize(classes, "shingle-classes")
-    full = join_small(marked, classes.select("row"), ["row"], "left_semi", 16)
-    shingles = full.select("row", "shingles")
-
-    prints = materialize(full.groupBy("fp").agg(F.min("row").alias("row")), "nodes")
-    near = near_links(prints.select("fp"), radius, tree_nodes)
-    u, v = (prints.select(F.col("fp").alias(c), F.col("row").alias(f"{c}_row")) for c in "uv")
-    near = near.join(u, "u").join(v, "v").select(F.least("u_row", "v_row").alias("u"), F.greatest("u_row", "v_row").alias("v"))
-
-    whole = full.select("row", F.size("shingles").alias("n"), "shingles")
-    buckets = _buckets(_prefix_keys(whole, similarity, hot_bucket), similarity)
-    small = buckets.where(F.col("n_rows") <= whole_bucket)
-    pairs = _side(small, "u").join(_side(small, "v"), "token").where("u < v").where(_may_reach(similarity))
-    large = buckets.where(F.col("n_rows") > whole_bucket)
-    firsts = materialize(_firsts(large), "firsts")
-    pairs = pairs.select("u", "v").union(_stars(large, firsts, similarity))
-    links = _linked(near.union(pairs), shingles, similarity)
-
-    before = None
-    while True:
-        roots = materialize(connected_components(links), "roots")
-        if before == 0:
-            break
-        state = large.join(roots.withColumnRenamed("node", "row"), "row", "left")
-        state = materialize(state.withColumn("root", F.coalesce("root", "row")), "rooted-buckets")
-        sizes = state.groupBy("token", "root").agg(F.count("*").alias("n"))
-        sizes = sizes.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
-        sizes = sizes.select("token", "n", ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs"))
-        sizes = materialize(sizes.where("pairs > 0"), "open-buckets")
-        rows, count = sizes.agg(F.sum("n"), F.sum("pairs")).first()
-        if not count:
-            break
-        unjoined = join_small(state, sizes.select("token"), ["token"], "left_semi", 16)
-        if count <= open_pairs * rows or before is not None and count > before / 2:
-            pairs = _side(unjoined, "u", "root").join(_side(unjoined, "v", "root"), "token")
-            pairs = pairs.where("u < v AND u_root <> v_root").where(_may_reach(similarity)).select("u", "v")
-            before = 0
-        else:
-            left = join_small(unjoined, firsts, ["token"], "inner", 48)
-            left = left.where(F.struct("score", "row") < F.struct("first.score", "first.row")).drop("first")
-            firsts = materialize(_firsts(left), "firsts")
-            pairs = _stars(unjoined, firsts, similarity)
-            before = count
-        links = links.union(_linked(pairs, shingles, similarity))
-
-    rooted = classes.join(roots.withColumnRenamed("node", "row"), "row", "left")
-    return materialize(rooted.select("same", "first", F.coalesce("root", "row").alias("root")), "rooted")
-
-
-def _firsts_of_groups(rooted: DataFrame) -> DataFrame:
-    """(same, first) per distinct text, with the first row of its group."""
-    groups = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    return rooted.select("same", "root").join(groups, "root").select("same", "first")
-
-
-def similar_groups(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 2, tree_nodes: int = TREE_NODES,
-    hot_bucket: int = HOT_BUCKET, whole_bucket: int = WHOLE_BUCKET, open_pairs: int = OPEN_PAIRS,
-) -> DataFrame:
-    """(doc_id, component_id): groups joined by pairs of at least ``similarity`` (Jaccard, of word shingles).
-
-    A fingerprint of 64 bits tells texts of that similarity apart by ten bits,
-    too many to search for.  The trees join what is within ``radius``; for the
-    rest, rows that share one of their first shingles form a bucket, and every
-    pair of the similarity has a bucket.  Small buckets have all their pairs
-    checked.  In a large one, rows are compared with one row at a time, as long
-    as that joins many of them, and then all pairs that no chain of links has
-    joined.  Texts without words form one group.  Null ids are carried along;
-    repeated rows stay repeated.
-    """
-    marked = _marked(docs.withColumn("row", F.monotonically_increasing_id()), words)
-    rooted = _rooted(marked, similarity, radius, tree_nodes, hot_bucket, whole_bucket, open_pairs)
-    named = _firsts_of_groups(rooted).select("same", F.col("first.doc_id").alias("component_id"))
-    return marked.select("doc_id", "same").join(named, "same").select("doc_id", "component_id")
-
-
-def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """One row of ``docs`` of each group, the one with the smallest id.
+def keep_one(docs: DataFrame, words: int = 3, radius: int = 2, tree_nodes: int = TREE_NODES) -> DataFrame:
+    """One row of ``docs`` of each group of near duplicates, the one with the smallest id.
 
     Rows are told apart by a number of their own, so repeated ids and rows
     without an id are treated like any other; a row without an id stays only
     where its whole group has none.
     """
+    ship_package(docs.sparkSession)
     numbered = materialize(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
-    marked = _marked(numbered, words)
-    rooted = _rooted(marked, similarity, 2, TREE_NODES, HOT_BUCKET, WHOLE_BUCKET, OPEN_PAIRS)
-    gone = marked.select("row", "same").join(_firsts_of_groups(rooted), "same").where(F.col("row") != F.col("first.row"))
-    gone = materialize(gone.select("row"), "near-copies")
+    marked = numbered.select("row", "doc_id", fingerprints(words)(text_or_empty()).alias("fp"))
+    marked = materialize(marked, "fingerprints")
+    found = join_spread(marked.select("row", "fp"), _groups(marked, radius, tree_nodes), ["fp"], 64)
+    gone = materialize(found.where(F.col("row") != F.col("first.row")).select("row"), "near-copies")
     return join_small(numbered, gone, ["row"], "left_anti", 16).drop("row")

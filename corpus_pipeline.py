@@ -32,8 +32,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
-    return simhash.keep_one(docs.select(*COLUMNS), words=5, similarity=0.8)
+    """One document of each group of near duplicates: three-word shingles, fingerprints within two bits."""
+    return simhash.keep_one(docs.select(*COLUMNS), words=3, radius=2)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

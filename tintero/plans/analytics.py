@@ -46,7 +46,15 @@ def analytics_frames(
     """The four results as DataFrames, all derived from one stored count table."""
     fact = store.scan_fact(spark, warehouse)
     base = materialize(base_counts(spread_small(fact, "article_id"), config), "term-counts")
+    regions = store.read_dimension(spark, warehouse, "dim_region", "region_key", "region_name")
+    sources = store.read_dimension(spark, warehouse, "dim_source", "source_id", "source_name")
+    return frames_of(fact, base, regions, sources, config)
 
+
+def frames_of(
+    fact: DataFrame, base: DataFrame, region_names: DataFrame, source_names: DataFrame, config: AnalyticsConfig
+) -> dict[str, DataFrame]:
+    """The four results from the stored counts ``base`` and the day keys of ``fact``."""
     monthly = terms.top_terms(terms.recount(base, ["year_month", "term"]), config.top_k)
     vocabulary = materialize(
         terms.frequent_vocabulary(base, config.min_global_count), "vocabulary"
@@ -60,8 +68,6 @@ def analytics_frames(
         config.region_limit,
         terms.within_vocabulary(base, vocabulary, "region_id"),
     )
-    region_names = store.read_dimension(spark, warehouse, "dim_region", "region_key", "region_name")
-
     divergence = terms.vocabulary_divergence(
         base,
         "source_id",
@@ -69,8 +75,6 @@ def analytics_frames(
         config.min_source_terms,
         terms.within_vocabulary(base, vocabulary, "source_id"),
     )
-    source_names = store.read_dimension(spark, warehouse, "dim_source", "source_id", "source_name")
-
     return {
         "top_terms_monthly": monthly,
         "regional_word_distribution": add_names(

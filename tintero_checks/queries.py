@@ -29,11 +29,12 @@ from tintero.operators import (
 )
 from tintero.operators import fact as facts
 from tintero.plans import analytics as analytics_job
+from tintero.plans import incremental
 from tintero.plans.report import build_reports
 from tintero.plans.warehouse import build_warehouse
 from tintero.session import materialize, scratch_path
 from tintero.sources import articles as article_files
-from tintero.sources import results, warehouse
+from tintero.sources import results, snapshots, warehouse
 from tintero_checks import sql
 from tintero_checks.adapters import (
     ANALYTICS,
@@ -1266,3 +1267,47 @@ def report_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         _tagged("regional", frames["regional_terms"], "region_name", "term", "regional_count", "relative_ratio"),
     ]
     return reduce(DataFrame.unionAll, parts)
+
+
+# ---------------------------------------------------------------- snapshots
+
+#: the copies and the chat turns arrive after the first versions
+_SECOND_BATCH = 1_000_000_000_000
+
+
+def _in_batches(spark: SparkSession, sf_dir: str) -> str:
+    raw = raw_articles(spark, sf_dir)
+    path = scratch_path(spark, "snapshots")
+    for batch in (raw.where(F.col("ingest_seq") < _SECOND_BATCH), raw.where(F.col("ingest_seq") >= _SECOND_BATCH)):
+        incremental.append_articles(spark, materialize(batch, "batch"), path, WAREHOUSE)
+    return path
+
+
+@register(
+    "fact_in_two_batches",
+    f"""WITH {_CLEAN} SELECT article_id, md5(title) AS title_md5, md5(body) AS body_md5, source AS source_name,
+    CAST(strftime(publish_date, '%Y%m%d') AS INTEGER) AS date_id, CAST(year(publish_date) AS INTEGER) AS year,
+    strftime(publish_date, '%m') AS month FROM clean""",
+)
+def fact_in_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snapshot = snapshots.current(spark, _in_batches(spark, sf_dir))
+    found = snapshots.read_months(spark, snapshot, warehouse.FACT, warehouse.FACT_SCHEMA)
+    named = found.join(snapshots.read_table(spark, snapshot, "dim_source"), "source_id")
+    return named.select(
+        "article_id", F.md5("title").alias("title_md5"), F.md5("body").alias("body_md5"), "source_name", "date_id", "year", "month"
+    )
+
+
+@register(
+    "stable_source_ids",
+    f"""WITH {_CLEAN}, firsts AS (SELECT coalesce(source, 'fuente desconocida') AS source_name, ingest_seq, article_id FROM raw_articles
+      WHERE try_cast(publish_date AS DATE) IS NOT NULL AND ingest_seq < {_SECOND_BATCH}),
+    a AS (SELECT source_name, row_number() OVER (ORDER BY min(ingest_seq), source_name) AS source_id FROM firsts GROUP BY source_name),
+    b AS (SELECT source AS source_name, min(ingest_seq) AS s FROM clean WHERE ingest_seq >= {_SECOND_BATCH}
+      AND source NOT IN (SELECT source_name FROM a) GROUP BY source)
+    SELECT source_name, source_id FROM a UNION ALL
+    SELECT source_name, (SELECT max(source_id) FROM a) + row_number() OVER (ORDER BY s, source_name) FROM b""",
+)
+def stable_source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    snapshot = snapshots.current(spark, _in_batches(spark, sf_dir))
+    return snapshots.read_table(spark, snapshot, "dim_source").select("source_name", "source_id")

@@ -59,6 +59,29 @@ def test_row_count_and_duplicate_dimension_key(spark, dims):
     assert failures(spark, GOOD, dims) == {"dimension_keys_unique": 1}
 
 
+def test_null_keys_and_no_dimension_rows(spark, dims):
+    dims["dim_source"] = spark.createDataFrame([(1,), (2,), (None,)], "source_id bigint")
+    row = (3, 1, 1, 20230105, None, 7, 2023, "01")
+    assert failures(spark, [*GOOD, row, row], dims) == {"referential_integrity": 2, "fact_integrity": 1}
+    dims["dim_region"] = dims["dim_region"].where("false")
+    assert failures(spark, GOOD, dims) == {"referential_integrity": 2}
+
+
+def test_report_equals_the_single_checks_and_scans_the_fact_once(spark, dims, tmp_path):
+    table = [*GOOD, GOOD[0], (4, 0, None, 20230105, 9, None, 2023, "02"), (None, 1, 1, None, 1, 7, 2023, "01")]
+    path = str(tmp_path / "fact")
+    spark.createDataFrame(table, FACT).write.parquet(path)
+    fact, clean = spark.read.parquet(path), spark.range(9)
+    report = quality.validation_report(clean, fact, dims)
+    found = {r["check"]: r["violations"] for r in report.collect()}
+    assert found["referential_integrity"] == sum(r["n_rows"] for r in quality.orphan_keys(fact, dims).collect())
+    assert found["row_count"] == quality.row_count_check(clean, fact).first()["violations"]
+    assert found["partitions_match_dates"] == quality.partition_mismatch(fact).count()
+    assert found["fact_integrity"] == quality.fact_integrity_check(fact).first()["violations"]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Join" not in plan
+
+
 def test_all_true(spark):
     numbers = spark.createDataFrame([(1,), (2,)], "n int")
     assert rows(quality.all_true(numbers, F.col("n") > 0)) == [(True,)]

@@ -5,7 +5,7 @@ import pytest
 from frames import rows
 
 from tintero import lexicon
-from tintero.operators import dimensions, joins
+from tintero.operators import dimensions, fact, joins
 
 
 def test_date_dimension(spark):
@@ -18,6 +18,19 @@ def test_date_dimension(spark):
     ]
 
 
+@pytest.mark.parametrize("limit, salted", [(100, False), (1, True)])
+def test_date_attributes_by_counted_calendar(spark, limit, salted):
+    days = [date(2024, 2, 28), date(2024, 3, 1), date(2024, 3, 1), date(2023, 1, 1), None]
+    df = spark.createDataFrame(list(enumerate(days)), "article_id int, publish_date date")
+    calendar = dimensions.date_dimension(df.where("year(publish_date) = 2024")).select("full_date", "date_id")
+    found = fact.add_date_attributes(df, calendar, max_broadcast_rows=limit)
+    assert found.columns == ["article_id", "publish_date", "date_id"]
+    assert ("_salt" in found._jdf.queryExecution().optimizedPlan().toString()) == salted
+    keys = [20240228, 20240301, 20240301, None, None]
+    assert rows(found) == rows(spark.createDataFrame([(i, d, k) for (i, d), k in zip(enumerate(days), keys)],
+                                                     "article_id int, publish_date date, date_id int"))
+
+
 def test_empty_date_dimension(spark):
     empty = spark.createDataFrame([], "publish_date date")
     assert dimensions.date_dimension(empty).collect() == []

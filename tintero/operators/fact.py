@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tintero.functions import dates, text
 from tintero.operators.classify import vote
-from tintero.operators.joins import lookup
+from tintero.operators.joins import BROADCAST_ROWS, lookup
 
 FACT_COLUMNS = (
     "article_id", "title", "body", "word_count_title", "word_count_body",
@@ -43,10 +43,16 @@ def assemble_fact(
     return keyed.select(*FACT_COLUMNS)
 
 
-def add_date_attributes(df: DataFrame, dim_date: DataFrame, day: str = "publish_date") -> DataFrame:
+def add_date_attributes(
+    df: DataFrame,
+    dim_date: DataFrame,
+    day: str = "publish_date",
+    spread_by: str = "article_id",
+    max_broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Left join with the date dimension, for callers whose calendar holds more than the date does.
 
-    A calendar has at most a few thousand rows per decade, which Spark sees from
-    the size of the stored dimension and broadcasts by itself.
+    The calendar is broadcast after its days have been counted; one beyond the
+    limit is joined by (day, salt), so a busy day is spread over tasks.
     """
-    return df.join(dim_date, df[day] == dim_date["full_date"], "left").drop("full_date")
+    return lookup(df, dim_date, day, "full_date", spread_by, max_broadcast_rows)

@@ -140,6 +140,20 @@ def test_declared_columns_missing_in_some_files_are_null_there(spark):
     assert rows(found) == [(1, "t", None, "01"), (2, None, "b", "02")]
 
 
+def test_columns_of_all_files_are_found_without_a_schema(spark):
+    path = f"{shared_folder(spark)}/differing"
+    titles = spark.createDataFrame([(1, "t", 2023, "01")], "article_id bigint, title string, year int, month string")
+    bodies = spark.createDataFrame([(2, "b", 2023, "02")], "article_id bigint, body string, year int, month string")
+    warehouse.write_fact(titles, path)
+    warehouse.write_fact(bodies, path, only_own_partitions=True)
+    found = warehouse.scan_fact(spark, path, ["article_id", "title", "body", "month"], files_differ=True)
+    assert rows(found) == [(1, "t", None, "01"), (2, None, "b", "02")]
+    other = spark.createDataFrame([("x", 2023, "03")], "article_id string, year int, month string")
+    warehouse.write_fact(other, path, only_own_partitions=True)
+    with pytest.raises(Exception, match="CANNOT_MERGE_SCHEMAS"):
+        warehouse.scan_fact(spark, path, files_differ=True)
+
+
 def test_missing_fact_is_an_error_and_missing_dimension_is_empty(spark):
     path = f"{shared_folder(spark)}/nowhere"
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):

@@ -1,7 +1,6 @@
 """Text expressions: folding, tokens, word counts, slugs.
 
-All of them are built-in JVM expressions.  :func:`fold_arrow` is the opt-in
-Arrow UDF that leaves folding to Python's Unicode database.
+All of them are built-in JVM expressions.
 """
 
 from __future__ import annotations
@@ -10,13 +9,14 @@ import unicodedata
 from collections.abc import Mapping
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tintero.config import TokenRules
 
 _HANGUL_SYLLABLES = range(0xAC00, 0xD7A4)
+#: the parts of a syllable, of which its number is made up; the first ending is none
+_LEADS, _VOWELS, _ENDINGS = range(0x1100, 0x1113), range(0x1161, 0x1176), range(0x11A8, 0x11C3)
 _PAIR, _FIELD = "\x01", "\x02"
 
 #: what Python's ``\w`` matches; spelled out because ``\b`` depends on the JDK
@@ -49,9 +49,8 @@ def fold_tables() -> tuple[str, str, dict[str, str]]:
 
     ``source``/``target`` drive one ``translate``: one-to-one folds first, then
     the combining marks, which have no counterpart and are therefore deleted.
-    ``expansions`` holds the characters that become several.  Precomposed Hangul
-    is left composed: its parts are letters too, so no term, space or word
-    boundary can change.
+    ``expansions`` holds the characters that become several, but for Hangul
+    syllables, whose parts are computed.
     """
     single: dict[str, str] = {}
     dropped: list[str] = []
@@ -77,7 +76,7 @@ def fold_tables() -> tuple[str, str, dict[str, str]]:
 @lru_cache(maxsize=1)
 def _expansion_literals() -> tuple[str, str, str]:
     expansions = fold_tables()[2]
-    points = sorted(map(ord, expansions))
+    points = sorted([*map(ord, expansions), *_HANGUL_SYLLABLES])
     first = f"\\x{{{points[0]:x}}}"
     before = f"\\x{{0}}-\\x{{{points[0] - 1:x}}}"
     # A coarse guard of few ranges, cheap to test on every row, then the exact
@@ -95,13 +94,28 @@ def as_text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def _syllable(piece: Column) -> Column:
+    """The two or three parts of a Hangul syllable; null for any other piece."""
+    number = F.ascii(piece) - _HANGUL_SYLLABLES.start
+
+    def part(letters: range, at: Column) -> Column:
+        return F.substring(F.lit("".join(map(chr, letters))), at.cast("int"), F.lit(1))
+
+    vowel_and_ending = len(_VOWELS) * (len(_ENDINGS) + 1)
+    lead = part(_LEADS, F.floor(number / vowel_and_ending) + 1)
+    vowel = part(_VOWELS, F.floor(number % vowel_and_ending / (len(_ENDINGS) + 1)) + 1)
+    ending_number = number % (len(_ENDINGS) + 1)
+    ending = F.when(ending_number > 0, part(_ENDINGS, ending_number)).otherwise("")
+    return F.when(number.between(0, len(_HANGUL_SYLLABLES) - 1), F.concat(lead, vowel, ending))
+
+
 def _expand(lowered: Column) -> Column:
     """Replace every character that folds to several, in the texts that have any."""
     guard, pieces, pairs = _expansion_literals()
     table = F.str_to_map(F.lit(pairs), F.lit(_PAIR), F.lit(_FIELD))
     replaced = F.transform(
         F.regexp_extract_all(lowered, F.lit(pieces), F.lit(0)),
-        lambda piece: F.coalesce(F.try_element_at(table, piece), piece),
+        lambda piece: F.coalesce(F.try_element_at(table, piece), _syllable(piece), piece),
     )
     affected = ~_is_ascii(lowered) & F.rlike(lowered, F.lit(guard))
     return F.when(affected, F.array_join(replaced, "")).otherwise(lowered)
@@ -141,16 +155,6 @@ def with_folded(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return half_folded(df, columns).withColumns({name: finish_fold(F.col(name)) for name in columns})
 
 
-def fold_arrow():
-    """Arrow UDF form of :func:`fold`, for callers that also want Hangul decomposed."""
-
-    @F.pandas_udf("string")
-    def fold_series(texts: pd.Series) -> pd.Series:
-        return texts.fillna("").str.lower().map(_decomposed)
-
-    return fold_series
-
-
 def joined(*columns: Column) -> Column:
     """Columns as one text, separated by single spaces; missing counts as empty."""
     return F.concat_ws(" ", *[as_text(c) for c in columns])

@@ -93,6 +93,7 @@ def scan_fact(
     columns: Sequence[str] | None = None,
     name: str = FACT,
     schema: str | None = None,
+    files_differ: bool = False,
 ) -> DataFrame:
     """The fact, with ``month`` back in its two-digit form.
 
@@ -100,11 +101,13 @@ def scan_fact(
     month prune partitions.  A missing folder is an error; one without files, as
     written for no articles at all, is an empty fact.
 
-    Without ``schema`` the columns are those of one file.  Where files differ,
-    declare it (``FACT_SCHEMA`` for example): a column is then null in the rows
-    of files without it, and no footers are read to find it.
+    Without ``schema`` the columns are those of one file.  With ``files_differ``
+    they are those of all files, found by a Spark job over the footers; two
+    files that give a column types that have no common one are an error.  A declared
+    ``schema`` (``FACT_SCHEMA`` for example) needs no footers.  Either way a
+    column is null in the rows of files without it.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
+    reader = spark.read.option("mergeSchema", files_differ) if schema is None else spark.read.schema(schema)
     try:
         fact = reader.parquet(f"{warehouse}/{name}")
     except AnalysisException as problem:

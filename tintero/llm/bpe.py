@@ -212,10 +212,10 @@ class _State:
 def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
     """The automaton of sorted, distinct words and their ids as one block of flat arrays.
 
-    States that accept the same endings are one state.  Layout: five lengths,
-    then per state the first arc and whether a word ends there, per arc its
-    target and the words that pass before it, per word the first id, all ids,
-    and the arcs' bytes.
+    States that accept the same endings are one state.  Layout: six lengths,
+    then per arc a key of its state and byte, ascending, its target and the
+    words that pass before it, per state whether a word ends there, per word the
+    first id, and all ids.
     """
     root, known, last, path = _State(), {}, b"", []
     firsts, ids = [0], []
@@ -261,19 +261,17 @@ def compile_lexicon(entries: Iterable[tuple[bytes, list[int]]]) -> bytes:
                 stack.extend((s, False) for s in state.arcs.values() if not s.words)
 
     count(root)
-    arc_firsts, finals, targets, passed, labels = [0], [], [], [], bytearray()
+    keys, targets, passed = [], [], []
     for state in states:
         before = int(state.final)
         for byte, following in state.arcs.items():
-            labels.append(byte)
+            keys.append(state.number << 8 | byte)
             targets.append(following.number)
             passed.append(before)
             before += following.words
-        arc_firsts.append(len(labels))
-        finals.append(int(state.final))
-    arrays = [np.array(x, "<i4").tobytes() for x in (arc_firsts, finals, targets, passed, firsts, ids)]
-    head = struct.pack("<5i", len(states), len(labels), len(firsts) - 1, len(ids), 0)
-    return b"".join([head, *arrays, bytes(labels)])
+    arrays = [np.array(x, "<i4").tobytes() for x in (targets, passed, [s.final for s in states], firsts, ids)]
+    head = struct.pack("<6i", len(keys), len(keys), len(keys), len(states), len(firsts), len(ids))
+    return b"".join([head, np.array(keys, "<i8").tobytes(), *arrays])
 
 
 class Lexicon:
@@ -282,27 +280,38 @@ class Lexicon:
     def __init__(self, path: str):
         with open(path, "rb") as file:
             self.map = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
-        states, arcs, words, ids, _ = struct.unpack_from("<5i", self.map)
-        view, at = memoryview(self.map), 20
-        parts = []
-        for size in (states + 1, states, arcs, arcs, words + 1, ids):
-            parts.append(view[at : at + 4 * size].cast("i"))
-            at += 4 * size
-        self.arc_firsts, self.finals, self.targets, self.passed, self.firsts, self.ids = parts
-        self.labels = at
+        at, parts = 24, []
+        for i, size in enumerate(struct.unpack_from("<6i", self.map)):
+            parts.append(np.frombuffer(self.map, "<i4" if i else "<i8", size, at))
+            at += parts[-1].nbytes
+        self.keys, self.targets, self.passed, self.finals, self.firsts, self.ids = parts
 
     def find(self, word: bytes) -> list[int] | None:
-        state = place = 0
-        base, find, firsts = self.labels, self.map.find, self.arc_firsts
-        for i in range(len(word)):
-            arc = find(word[i : i + 1], base + firsts[state], base + firsts[state + 1])
-            if arc < 0:
-                return None
-            place += self.passed[arc - base]
-            state = self.targets[arc - base]
-        if not self.finals[state]:
-            return None
-        return self.ids[self.firsts[place] : self.firsts[place + 1]].tolist()
+        (packed,) = self.find_many([word])
+        return None if packed is None else np.frombuffer(packed, "<u4").tolist()
+
+    def find_many(self, words: list[bytes]) -> list[bytes | None]:
+        """The packed ids of each word, or None; the words walk the automaton together, a byte at a step."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        out: list[bytes | None] = [None] * len(words)
+        raw, at = np.frombuffer(b"".join(words), np.uint8), sizes.cumsum() - sizes
+        rows = np.flatnonzero((sizes <= LONGEST_WORD) & bool(len(self.keys)))
+        state, place = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
+        for step in range(LONGEST_WORD + 1):
+            ended = sizes[rows] == step
+            hit = ended & (self.finals[state] == 1)
+            for row, i in zip(rows[hit].tolist(), place[hit].tolist()):
+                out[row] = self.ids[self.firsts[i] : self.firsts[i + 1]].tobytes()
+            rows, state, place = rows[~ended], state[~ended], place[~ended]
+            if not len(rows):
+                break
+            key = state << 8 | raw[at[rows] + step]
+            arc = np.searchsorted(self.keys, key)
+            arc[arc == len(self.keys)] = 0
+            goes = self.keys[arc] == key
+            rows, arc = rows[goes], arc[goes]
+            state, place = self.targets[arc].astype(np.int64), place[goes] + self.passed[arc]
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -382,18 +391,15 @@ class _Coder(dict):
         self.rare_bytes = 0
 
     def _learn(self, words: Iterable[str]) -> None:
-        unseen, raws = [], []
-        for word in words:
-            raw = word.encode()
-            ids = self.lexicon.find(raw)
-            if ids is None:
-                unseen.append(word)
-                raws.append(raw)
-            else:
-                self[word] = struct.pack(f"<{len(ids)}I", *ids)
-        self.update(zip(unseen, self.vocab.merge_many(raws)))
-        self.rare.extend(unseen)
-        self.rare_bytes += sum(map(len, raws))
+        words = list(words)
+        raws = [word.encode() for word in words]
+        found = self.lexicon.find_many(raws)
+        self.update((word, ids) for word, ids in zip(words, found) if ids is not None)
+        unseen = [i for i, ids in enumerate(found) if ids is None]
+        rare = [words[i] for i in unseen]
+        self.update(zip(rare, self.vocab.merge_many([raws[i] for i in unseen])))
+        self.rare.extend(rare)
+        self.rare_bytes += sum(len(raws[i]) for i in unseen)
 
     def _encode_group(self, texts: list[str]) -> list[bytes]:
         keys: list[list] = []

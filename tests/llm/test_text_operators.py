@@ -141,6 +141,39 @@ def test_windows_of_tables_and_edges(spark, edge_docs):
         )
 
 
+def test_windows_tell_texts_without_id_apart(spark):
+    """Texts of null id whose 32-bit hashes agree keep their own spans."""
+    digests = F.concat(*[F.sha2(F.concat(F.lit(f"{k} "), F.col("id").cast("string")), 256) for k in range(8)])
+    texts = spark.range(300_000).select(digests.alias("text")).withColumn("h", F.hash("text"))
+    twins = texts.groupBy("h").agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").limit(1).collect()
+    assert twins
+    one, other = twins[0].a, twins[0].b
+    docs = spark.createDataFrame([(None, one), (None, other), (1, one)], "doc_id long, text string")
+    found = [(r.doc_id, r.n_removed, bytes(r.kept).decode()) for r in windows.remove_repeats(docs).collect()]
+    assert sorted(found, key=str) == sorted([(None, 512, ""), (None, 0, other), (1, 512, "")], key=str)
+
+
+def test_planted_passages_of_the_width_are_all_found(spark):
+    """Passages of 400 bytes and more in two texts each go; those of 399 bytes stay."""
+    rng = random.Random(5)
+
+    def letters(n):
+        return "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+
+    docs, want = [], {}
+    for case, size in enumerate([399, 400, 401, 450, 800, 2_000] * 5):
+        passage = letters(size)
+        for copy in range(2):
+            doc_id = 2 * case + copy
+            # the neighbours of a passage differ, so that it doesn't grow by chance
+            docs.append((doc_id, f"{letters(rng.randrange(900))}{copy}{passage}{copy}{letters(rng.randrange(900))}"))
+            want[doc_id] = size if size >= 400 else 0
+    docs += [(1_000 + i, letters(3_000)) for i in range(40)]
+    want |= {1_000 + i: 0 for i in range(40)}
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in windows.remove_repeats(table).collect()} == want
+
+
 def test_windows_cut_at_piece_borders(monkeypatch):
     rng = random.Random(1)
     text = bytes(rng.choices(b"abc", k=5000))

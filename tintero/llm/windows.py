@@ -34,7 +34,8 @@ from tintero.session import materialize
 WIDTH = 400
 #: Lengths of the runs of starts in the passes after the first.
 RUNS = (16, 1)
-_NO_ID = -(1 << 63)
+#: Runs of starts that are passed on together.
+_RUNS_AT_ONCE = 200_000
 _BASE = 0x9E3779B97F4A7C15
 _U64 = (1 << 64) - 1
 _PIECE = 1 << 22
@@ -100,22 +101,29 @@ def anchored_runs(data: bytes, width: int, roller: Roller) -> tuple[np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _doc() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc")
+def _named() -> list[Column]:
+    """(doc, body): the id and 64 bits of the text; a row without an id is known by 128 bits of its text."""
+    text = text_or_empty()
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), text))
+    return [doc.alias("doc"), F.xxhash64(text).alias("body")]
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     """(doc, body, data): bytes of the text, by id and a hash that tells texts of one id apart."""
-    text = text_or_empty()
-    return docs.select(_doc(), F.hash(text).alias("body"), text.cast("binary").alias("data"))
+    return docs.select(*_named(), text_or_empty().cast("binary").alias("data"))
 
 
-_RUN = "core {core}, whole {core}, doc long, body int, anchor int, a int, b int, copies int"
+_RUN = "core {core}, whole {core}, doc long, body long, anchor int, a int, b int, copies int"
 
 
 def _first_pass(width: int):
+    def frame(found: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+        core, anchor, a, b, whole, doc, body = map(np.concatenate, zip(*found))
+        places = {name: x.astype(np.int32) for name, x in (("anchor", anchor), ("a", a), ("b", b))}
+        return pd.DataFrame({"core": core, "whole": whole, "doc": doc, "body": body} | places | {"copies": np.int32(1)})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        roller = Roller(width // 2)
+        roller, found, size = Roller(width // 2), [], 0
         for batch in batches:
             for doc, body, data in zip(batch["doc"], batch["body"], batch["data"]):
                 if len(data) < width:
@@ -125,11 +133,14 @@ def _first_pass(width: int):
                     xxh3_64_intdigest(data[i : j + width], seed=p - i)
                     for p, i, j in zip(anchor.tolist(), a.tolist(), b.tolist())
                 ]
-                yield pd.DataFrame({
-                    "core": core, "whole": np.array(whole, np.uint64).view(np.int64), "doc": doc, "body": body,
-                    "anchor": anchor.astype(np.int32), "a": a.astype(np.int32), "b": b.astype(np.int32),
-                    "copies": np.int32(1),
-                })
+                whole = np.array(whole, np.uint64).view(np.int64)
+                found.append((core, anchor, a, b, whole, np.full(len(a), doc), np.full(len(a), body)))
+                size += len(a)
+                if size >= _RUNS_AT_ONCE:
+                    yield frame(found)
+                    found, size = [], 0
+        if found:
+            yield frame(found)
 
     return run
 
@@ -253,7 +264,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     spans = materialize(repeated_spans(docs, width), "repeated-spans")
     bytes_ = spans.agg(F.sum(F.size("spans") * 8 + 64)).first()[0] or 0
     side = F.broadcast(spans) if bytes_ <= BROADCAST_BYTES else spans
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _doc(), F.hash(text_or_empty()).alias("body"),
-                       text_or_empty().cast("binary").alias("data"))
+    data = text_or_empty().cast("binary").alias("data")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_named(), data)
     rows = rows.join(side, ["doc", "body"], "left").select("doc_id", "data", "spans")
     return rows.mapInPandas(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -1,4 +1,5 @@
 import csv
+import io
 import random
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tintero import lexicon
 from tintero.session import materialize, shared_folder
 from tintero.sources import articles as files
-from tintero.sources import results, warehouse
+from tintero.sources import results, split_csv, warehouse
 
 HEADER = ["article_id", "title", "extra", "body", "source", "publish_date"]
 LINES = [
@@ -94,6 +95,45 @@ def test_split_files_give_the_same_articles(spark, tmp_path, tiny_splits, end):
     assert [(str(r[0]), *r[1:-1]) for r in split] == want
 
 
+LINE_ENDS_INSIDE = [
+    ["1", "a\r\nb", "e", "one\r\n\r\ntwo\nthree", "s", "2023-01-05"],
+    ["2", "\r\n", "e", 'say "x"\r\n', "s\r\n", "2023-01-06"],
+    *[[str(i), "t", "e", "long\r\n" * i, "s", "2023\r\n"] for i in range(3, 90)],
+]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("how", [{"split_files": True}, {"line_end": None}])
+def test_line_ends_inside_fields_are_kept(spark, tmp_path, tiny_splits, end, how):
+    write(tmp_path / "a.csv", LINE_ENDS_INSIDE, end=end)
+    how = {"line_end": end} if "line_end" in how else how
+    got = files.read_article_csv(spark, str(tmp_path / "a.csv"), id_type="string", **how).orderBy("ingest_seq")
+    want = [tuple(r[:2] + r[3:]) for r in LINE_ENDS_INSIDE]
+    assert [tuple(r)[:-1] for r in got.collect()] == want
+
+
+@pytest.mark.parametrize("limit", [split_csv.BROADCAST_BYTES, 0])
+def test_records_of_split_files_are_whole(spark, tmp_path, tiny_splits, limit):
+    random.seed(11)
+    written = {}
+    for name in ("a.csv", "b.csv", "empty.csv"):
+        lines = [[str(i), random.choice(["x", "\n" * 400, '"', "a\r\nb" * 30])] for i in range(60 * (name != "empty.csv"))]
+        write(tmp_path / name, lines, ["id", "text"])
+        written[name] = lines
+    found = split_csv.csv_records(spark, str(tmp_path), ["id", "text"], limit)
+    for name, lines in written.items():
+        texts = [r["text"] for r in found.where(F.col("file").endswith(name)).orderBy("position").collect()]
+        assert list(csv.reader(io.StringIO("\n".join(texts), newline=""))) == lines
+
+
+def test_only_cut_records_are_moved(spark, tmp_path):
+    write(tmp_path / "a.csv", LINES)
+    lines = split_csv._lines(spark, str(tmp_path))
+    plan = split_csv._pieces(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan and "Exchange hashpartitioning" not in plan and "Window" not in plan
+    assert split_csv._pieces(lines).where("cut").count() == 0
+
+
 @pytest.mark.parametrize("split", [False, True])
 def test_a_file_with_another_header_is_an_error(spark, tmp_path, split):
     write(tmp_path / "a.csv", LINES[:1])

@@ -47,6 +47,7 @@ def read_article_csv(
     id_type: str = "bigint",
     na_tokens: Sequence[str] = lexicon.NA_TOKENS,
     split_files: bool = False,
+    line_end: str | None = None,
 ) -> DataFrame:
     """Article files with a header, quoted multi-line fields and doubled quotes.
 
@@ -55,16 +56,19 @@ def read_article_csv(
     holds for files that quote as RFC 4180 says (see
     :mod:`tintero.sources.split_csv`).  The choice is the caller's and doesn't
     depend on sizes.  A file whose header differs from the first one's is an
-    error.  In files with CRLF line ends, line breaks inside fields may arrive
-    as LF.
+    error.  Line breaks inside fields are kept as written with ``split_files``,
+    and without it if ``line_end`` names the line end of all files; otherwise
+    Spark finds the line end of each file, and CRLF inside fields of files with
+    CRLF line ends arrives as LF.
     """
-    whole_files = spark.read.options(**_CSV).csv(path)  # reads the header only
+    ends = {} if line_end is None else {"lineSep": line_end}
+    whole_files = spark.read.options(**_CSV, **ends).csv(path)  # reads the header only
     files = whole_files.inputFiles()
     ranks = _file_ranks(spark, files)
     position_bits = 63 - max(1, (len(files) - 1).bit_length())  # half a million files leave room for 16 TB each
     if split_files:
         names = ", ".join(f"`{c}` string" for c in whole_files.columns)
-        record = F.from_csv("text", names, _CSV | {"header": "false"})
+        record = F.from_csv("text", names, _CSV | {"header": "false", "lineSep": "\n"})  # keeps CRLF inside fields
         placed = csv_records(spark, path, whole_files.columns).select(record.alias("r"), "file", "position")
         placed = placed.select("r.*", "file", "position")
     else:

@@ -8,7 +8,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from tintero.llm import chat, html, toxicity, warc
+from tintero.llm import chat, common, html, toxicity, warc
 
 PAGES = [
     (1, "http://a.example/x", "<p>one</p>"), (2, "http://www.a.example/x", "<p>one</p>"), (3, None, None),
@@ -23,14 +23,25 @@ def pages(spark, rows=None):
 
 
 def test_archives_of_edges(spark):
+    check_archives(spark, PAGES)
+
+
+def test_archives_by_shuffle_with_hot_payloads(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(common.join_spread, "__defaults__", ("inner", 3))
+    copies = [(i, f"http://h.example/{i}", "<p>hot</p>") for i in range(10, 50)]
+    check_archives(spark, [*PAGES, *copies, *[(i, "http://e.example", None) for i in range(60, 80)]])
+
+
+def check_archives(spark, rows):
     want = []
-    payloads = [(i, (h or "").encode()) for i, _, h in PAGES]
+    payloads = [(i, (h or "").encode()) for i, _, h in rows]
     for page_id, payload in payloads:
         best = max((i for i, p in payloads if p == payload), key=lambda i: -1 if i is None else i)
         digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
         revisit = best != page_id
         want.append((page_id, len(payload), digest, "revisit" if revisit else "response", best if revisit else None))
-    got = [tuple(r) for r in warc.archive_pages(pages(spark)).collect()]
+    got = [tuple(r) for r in warc.archive_pages(pages(spark, rows)).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert warc.archive_pages(pages(spark, [])).count() == 0
 

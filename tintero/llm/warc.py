@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tintero.llm.common import join_small, ship_package, text_or_empty
+from tintero.llm.common import join_spread, ship_package, text_or_empty
 from tintero.session import materialize, scratch_path
 
 ARCHIVE_BYTES = 512 << 20
@@ -135,7 +135,7 @@ def classified(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
                                          F.col("best.url").alias("target"))
     several = materialize(several, "responses")
     rows = pages.select(page_id, url, html.alias("html"), sha, size)
-    joined = join_small(rows, several, ["sha", "size"], "left", 400)
+    joined = join_spread(rows, several, ["sha", "size"], 400, "left")
     revisits = F.col("response") != F.col("page_id")
     return joined.select("page_id", "url", "html", F.when(revisits, F.col("response")).alias("refers_to"),
                          F.when(revisits, F.col("target")).alias("target"))
@@ -350,7 +350,9 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0, folder: str | None = N
     places = lookup(targets, build_index(manifest))
     found = read_ranges(places, folder).select(F.col("key").alias("target"), F.col("payload_bytes").alias("full_bytes"),
                                                F.col("payload_digest").alias("full_digest"))
-    whole = join_small(records, materialize(found, "responses-read"), ["target"], "left", 500)
+    revisits = records.where("target IS NOT NULL")
+    revisits = join_spread(revisits, materialize(found, "responses-read"), ["target"], 500, "left")
+    whole = revisits.unionByName(records.where("target IS NULL"), allowMissingColumns=True)
 
     def id_or_null(name: str):
         return F.when(F.col(name) != _NO_ID, F.col(name)).alias(name)

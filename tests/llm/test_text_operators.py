@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tintero.llm import bpe, decontaminate, exact, lines, simhash, windows
+from tintero.llm import bpe, common, decontaminate, exact, lines, simhash, windows
 
 SMALL = "/root/testdata/sf0.001"
 VOCAB = public_tokenizers.path("byte_bpe_50k.json")
@@ -92,6 +92,16 @@ def test_exact_duplicates_of_edges(spark, edge_docs, digit, growth):
     found = exact.exact_duplicates(edge_docs, digit, growth)
     columns = ("doc_id", "keep_id", "group_size", "text_sha256")
     assert got(found, *columns) == expected(brute.exact_groups(edge_rows()))
+
+
+def test_exact_duplicates_by_shuffle_with_hot_groups(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(common.join_spread, "__defaults__", ("inner", 3))
+    long = "the same beginning of many texts " * 20
+    texts = ["", None, " \n", "short", long, long + "a", long + "b ", long + " b"] * 6 + [f"{long}{i}" for i in range(9)]
+    docs = list(enumerate(texts))
+    columns = ["doc_id", "keep_id", "group_size", "text_sha256"]
+    assert got(exact.exact_duplicates(frame(spark, docs), 8, 8), *columns) == expected(brute.exact_groups(docs))
     kept = found.where("kept").groupBy("text_sha256").count().collect()
     assert all(r["count"] == 1 for r in kept)
     assert len(kept) == found.select("text_sha256").distinct().count()

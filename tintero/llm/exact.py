@@ -6,8 +6,9 @@ texts have ended.  Bytes themselves are compared, so no digest decides.  A
 pass takes ``GROWTH`` times as many bytes as the one before: copies of long
 texts need few passes, and the others leave after the first.
 
-Groups are counted with partial sums before the shuffle, and rows meet their
-group's summary in a join whose large groups are split at run time.
+Groups are counted with partial sums before the shuffle.  Their summaries are
+stored; rows meet them by a broadcast if they are few, otherwise in a join that
+deals the rows of a large group to several tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tintero.llm.common import SPACES, join_small, text_or_empty
+from tintero.llm.common import SPACES, join_small, join_spread, text_or_empty
 from tintero.session import materialize
 
 FIRST_DIGIT, GROWTH = 16, 16
@@ -68,10 +69,10 @@ def exact_duplicates(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: in
         "doc_id", "length", hashed, head(first_digit).alias("digit"), F.monotonically_increasing_id().alias("row")
     )
     first = materialize(first, "first-digits")
-    groups = _summary(first, "digit")
+    groups = materialize(_summary(first, "digit"), "digit-groups")
     still_open = (F.col("n") > 1) & (F.octet_length("digit") == first_digit)
     open_digits = materialize(groups.where(still_open).select("digit"), "open-digits")
-    results = [_decided(first.join(groups.where(~still_open), "digit"))]
+    results = [_decided(join_spread(first, groups.where(~still_open), ["digit"], first_digit + 96))]
 
     digits = rows.withColumn("digit", head(first_digit))
     state = join_small(digits, open_digits, ["digit"], "left_semi", 48).select(
@@ -88,8 +89,9 @@ def exact_duplicates(docs: DataFrame, first_digit: int = FIRST_DIGIT, growth: in
         state = state.withColumn("digit", F.substring("tail", 1, width)).withColumn(
             "tail", F.expr(f"substring(tail, {width + 1})")
         )
-        groups = _summary(state.withColumnRenamed("group", "parent"), "parent", "digit")
-        joined = state.withColumnRenamed("group", "parent").join(groups, ["parent", "digit"])
+        state = state.withColumnRenamed("group", "parent")
+        groups = materialize(_summary(state, "parent", "digit"), "radix-groups")
+        joined = join_spread(state, groups, ["parent", "digit"], width + 96)
         joined = materialize(
             joined.select(
                 "doc_id", "row", "length", "tail", "best", "n", "group",

@@ -22,12 +22,14 @@ def build_warehouse(
     articles: str | list[str] | DataFrame,
     warehouse: str,
     config: WarehouseConfig = WarehouseConfig(),
+    split_files: bool = False,
 ) -> DataFrame:
     """Build dimensions and fact under ``warehouse``; returns the validation report.
 
     ``articles`` are CSV paths, or a stored table with the raw columns and
     ``ingest_seq``.  The text is read once, to write the fact; everything else
-    reads narrow columns of stored tables.
+    reads narrow columns of stored tables.  One task reads one file; large files
+    want ``split_files``, as told in :func:`read_article_csv`.
 
     All tables are written to a folder inside ``warehouse`` and validated
     there; then they replace those of the last build.  With
@@ -37,7 +39,7 @@ def build_warehouse(
     if isinstance(articles, DataFrame):
         raw = articles
     else:
-        files = read_article_csv(spark, articles, id_type=config.id_type)
+        files = read_article_csv(spark, articles, id_type=config.id_type, split_files=split_files)
         raw = land_articles(files, scratch_path(spark, "landed"))
     clean = clean_articles(
         spread_small(raw, "ingest_seq"), placeholders=config.placeholders, date_formats=config.date_formats

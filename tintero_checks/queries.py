@@ -32,7 +32,7 @@ from tintero.plans import analytics as analytics_job
 from tintero.plans import incremental
 from tintero.plans.report import build_reports
 from tintero.plans.warehouse import build_warehouse
-from tintero.session import materialize, scratch_path
+from tintero.session import materialize, scratch_path, text_bytes
 from tintero.sources import articles as article_files
 from tintero.sources import results, snapshots, warehouse
 from tintero_checks import sql
@@ -376,12 +376,16 @@ def head_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- article files
 
 
-def _write_article_csv(spark: SparkSession, sf_dir: str) -> str:
+#: about as much text goes into one of the CSV files, of which there are four at least
+_CSV_FILE_BYTES = 48 << 20
+
+
+def _write_article_csv(spark: SparkSession, sf_dir: str, file_bytes: int = _CSV_FILE_BYTES) -> str:
     """Raw articles as several CSV files, quoted, in ingest order, gaps written as NA."""
     path = scratch_path(spark, "article-csv")
+    raw = raw_articles(spark, sf_dir)
     (
-        raw_articles(spark, sf_dir)
-        .repartitionByRange(4, "ingest_seq")
+        raw.repartitionByRange(max(4, -(-text_bytes(raw) // file_bytes)), "ingest_seq")
         .sortWithinPartitions("ingest_seq")
         .select("article_id", "title", "body", "source", "publish_date")
         .write.option("header", True)

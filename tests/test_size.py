@@ -39,3 +39,24 @@ def test_the_csv_job_reads_files_in_splits(spark, tmp_path):
         build_warehouse(spark, path, f"{tmp_path}/wh{split}", WAREHOUSE, split_files=split)
         facts.append(rows(warehouse.scan_fact(spark, f"{tmp_path}/wh{split}")))
     assert facts[0] == facts[1] and len(facts[0]) == 60
+
+
+def test_tasks_follow_the_bytes_of_text(spark):
+    texts = spark.range(200).select("id", F.repeat(F.lit("ñ"), 50).alias("a"), F.when(F.col("id") > 5, "x").alias("b"))
+    assert session.text_bytes(texts) == 200 * 100 + 194
+    assert session.text_bytes(texts.limit(0)) == 0
+    dealt = session.spread_by_bytes(texts, "id", 1000)
+    assert dealt.rdd.getNumPartitions() == 21
+    assert rows(dealt) == rows(texts)
+    assert session.spread_by_bytes(texts, "id").rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_counts_by_article_are_made_in_tasks_of_bounded_text(spark, tmp_path, monkeypatch):
+    path = tables(spark, tmp_path)
+    found = rows(queries.term_rules(spark, path))
+    bound = session.spread_by_bytes.__kwdefaults__ or session.spread_by_bytes.__defaults__
+    assert bound == (session.TASK_BYTES,)
+    monkeypatch.setattr(session.spread_by_bytes, "__defaults__", (2000,))
+    small = queries.term_rules(spark, path)
+    assert "REPARTITION_BY_NUM" in small._jdf.queryExecution().executedPlan().toString()
+    assert small.rdd.getNumPartitions() > 15 and rows(small) == found

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tintero.config import AnalyticsConfig, TokenRules, WarehouseConfig
 from tintero.operators.dimensions import source_dimension
 from tintero.operators.fact import assemble_fact
-from tintero.session import spread_small
+from tintero.session import spread_by_bytes, spread_small
 
 #: aliases that several classes share, so each class must search on its own
 SHARED_MARKERS = {
@@ -61,6 +61,11 @@ def text_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_articles(spread_small(table(spark, sf_dir, "documents"), "doc_id"))
 
 
+def dealt_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`articles` for work that holds what it finds per article: tasks of bounded text, an article in one of them."""
+    return _as_articles(spread_by_bytes(table(spark, sf_dir, "documents"), "doc_id"))
+
+
 def _as_articles(documents: DataFrame) -> DataFrame:
     first_break = F.instr("text", "\n")
     return documents.select(

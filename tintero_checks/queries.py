@@ -45,6 +45,7 @@ from tintero_checks.adapters import (
     UNKNOWN,
     WAREHOUSE,
     articles,
+    dealt_articles,
     fact,
     raw_articles,
     table,
@@ -163,7 +164,7 @@ def letter_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM kept GROUP BY article_id""",
 )
 def term_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = terms.term_counts(text_articles(spark, sf_dir), ["article_id"])
+    kept = terms.term_counts(dealt_articles(spark, sf_dir), ["article_id"])
     return kept.groupBy("article_id").agg(
         F.sum("count").alias("n_terms"),
         F.count("*").alias("n_distinct"),

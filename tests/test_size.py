@@ -60,3 +60,16 @@ def test_counts_by_article_are_made_in_tasks_of_bounded_text(spark, tmp_path, mo
     small = queries.term_rules(spark, path)
     assert "REPARTITION_BY_NUM" in small._jdf.queryExecution().executedPlan().toString()
     assert small.rdd.getNumPartitions() > 15 and rows(small) == found
+
+
+def test_a_filter_by_class_does_not_repeat_the_search(spark):
+    texts = spark.createDataFrame([(1, "the end", "of it"), (2, "nada", "que en"), (3, "x", "y")], "id long, title string, body string")
+    voted = vote(texts, MARKERS_APART, UNKNOWN, "title", "body")
+
+    def searches(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all")
+
+    counts = terms.term_counts(voted, ["region_id"])
+    assert searches(terms.exclude_class(counts, "region_id", UNKNOWN)) == searches(counts)
+    assert rows(terms.exclude_class(voted, "region_id", UNKNOWN).select("id", "region_id")) == [(1, 1), (2, 2)]
+    assert rows(voted.select("id", "region_id"))[-1] == (3, UNKNOWN)

@@ -121,10 +121,13 @@ def vote(
         df.withColumns(texts)
         .withColumn("_best", F.when((F.col("_title_hits") != "") | (F.col("_body_hits") != ""), best))
         .withColumn(
-            out,
+            "_class",
             F.when(F.col("_best.score") >= 1, -F.col("_best.neg_id")).otherwise(unknown).cast("int"),
         )
-        .drop("_title_hits", "_body_hits", "_best")
+        # A filter by class must not reach below the search, where it would repeat it for
+        # every mention of the class; none passes what explode gives.
+        .withColumn(out, F.explode(F.array("_class")))
+        .drop("_title_hits", "_body_hits", "_best", "_class")
     )
 
 

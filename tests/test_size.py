@@ -73,3 +73,15 @@ def test_a_filter_by_class_does_not_repeat_the_search(spark):
     assert searches(terms.exclude_class(counts, "region_id", UNKNOWN)) == searches(counts)
     assert rows(terms.exclude_class(voted, "region_id", UNKNOWN).select("id", "region_id")) == [(1, 1), (2, 2)]
     assert rows(voted.select("id", "region_id"))[-1] == (3, UNKNOWN)
+
+
+def test_word_grams_carry_no_list_of_the_text(spark):
+    aliases = spark.createDataFrame([(1, "de la", 0), (2, "la", 0), (2, "año_1", 1)], "class_id int, alias string, place int")
+    texts = [(1, "De la", "la  de la, de la"), (2, "", None), (3, "¡año_1!", "\U0001d7d8la x"), (4, None, "...")]
+    df = spark.createDataFrame(texts, "article_id long, t string, b string")
+    hits = alias_table.alias_hits(df, "article_id", {"t": 1, "b": 0}, alias_table.prepared_aliases(aliases, 9))
+    assert "posexplode" not in hits._jdf.queryExecution().optimizedPlan().toString()
+    found = rows(hits.select("_key", "field", "class_id", "at", "pieces"))
+    assert found == [
+        (1, 0, 1, 2, 3), (1, 0, 1, 6, 3), (1, 0, 2, 0, 1), (1, 0, 2, 4, 1), (1, 0, 2, 8, 1), (1, 1, 2, 2, 1), (3, 1, 2, 1, 1),
+    ]

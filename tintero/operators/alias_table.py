@@ -18,7 +18,7 @@ from tintero.operators.joins import BROADCAST_ROWS, fits_broadcast
 from tintero.session import materialize
 
 #: Runs of word characters and of all others, in turn.
-_PIECES = f"{WORD_CHAR}+|(?!{WORD_CHAR}).(?:(?!{WORD_CHAR}).)*"
+_PIECES = f"{WORD_CHAR}++|[^{WORD_CHAR[1:]}++"
 _HASHES = ("_h1", "_h2")
 
 
@@ -65,12 +65,21 @@ def alias_hits(
     fields = F.array(*[F.struct(F.lit(w).alias("field"), F.col(t).alias("text")) for t, w in texts.items()])
     cut = df.select(F.col(key).alias("_key"), F.explode(fields).alias("_f"))
     cut = cut.select("_key", "_f.field", _pieces(F.col("_f.text")).alias("_pieces"))
+    # Words and gaps take turns, so the first piece tells which are words.
+    first_word = F.when(_is_word(F.try_element_at("_pieces", F.lit(1))), 0).otherwise(1)
+    cut = cut.select("*", first_word.alias("_first"))
     grams = F.array(*map(F.lit, sizes)) if sizes else F.array().cast("array<int>")
-    starts = cut.select("*", F.posexplode("_pieces").alias("at", "_piece")).where(_is_word(F.col("_piece")))
-    placed = starts.select("_key", "field", "at", "_pieces", F.explode(grams).alias("pieces"))
-    placed = placed.where(F.col("at") + F.col("pieces") <= F.size("_pieces"))
-    gram = F.array_join(F.slice("_pieces", F.col("at") + 1, F.col("pieces")), "")
-    hashed = placed.select("_key", "field", "at", "pieces", *[c.alias(n) for n, c in _hashed(gram).items()])
+    sized = cut.select("*", F.explode(grams).alias("pieces"))
+
+    def gram_at(piece: Column, at: Column) -> Column:
+        gram = F.when(F.col("pieces") == 1, piece).otherwise(F.array_join(F.slice("_pieces", at + 1, F.col("pieces")), ""))
+        fits = (at % 2 == F.col("_first")) & (at + F.col("pieces") <= F.size("_pieces"))
+        return F.when(fits, F.struct(at.alias("at"), gram.alias("gram")))
+
+    # The grams of a text are cut inside its row: what is exploded holds no list of pieces.
+    found = F.filter(F.transform("_pieces", gram_at), lambda g: g.isNotNull())
+    placed = sized.select("_key", "field", "pieces", F.explode(found).alias("_g"))
+    hashed = placed.select("_key", "field", "_g.at", "pieces", *[c.alias(n) for n, c in _hashed(F.col("_g.gram")).items()])
     small = fits_broadcast(prepared, max_broadcast_rows)
     return hashed.join(F.broadcast(prepared) if small else prepared, ["pieces", *_HASHES])
 

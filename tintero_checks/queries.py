@@ -620,11 +620,11 @@ scores AS (SELECT article_id, class_id, sum(weight) AS score FROM grams JOIN ali
 )
 def region_vote_by_corpus_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thousands of aliases, taken from the corpus itself, in hundreds of classes."""
-    plain = text_articles(spark, sf_dir).select(
-        "article_id",
-        *[F.lower(F.regexp_replace(F.regexp_replace(c, "[^ -~]", " "), "[^A-Za-z]", " ")).alias(c) for c in ("title", "body")],
+    plain = dealt_articles(spark, sf_dir).select(
+        "article_id", *[F.lower(F.regexp_replace(c, "[^A-Za-z]", " ")).alias(c) for c in ("title", "body")]
     )
-    terms_ = plain.select("article_id", F.explode(F.regexp_extract_all(F.concat_ws(" ", "title", "body"), F.lit("[a-z]+"), F.lit(0))).alias("alias"))
+    words = text.letter_runs(F.concat_ws(" ", "title", "body"))
+    terms_ = plain.select("article_id", F.explode(F.array_distinct(words)).alias("alias"))
     known = terms_.where(F.char_length("alias").between(4, 24)).distinct().groupBy("alias").agg(F.count("*").alias("n"))
     class_id = (1 + F.ascii("alias") * 7 % 13 * 100 + F.char_length("alias")).cast("int")
     aliases = known.where(F.col("n").between(3, 200)).select("alias", class_id.alias("class_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tintero.functions import dates
 from tintero.operators import cleaning, series, terms
 from tintero.operators.fact import assemble_fact
+from tintero.plans import analytics
 from tintero.session import scratch_path, spread_small
 from tintero.sources import warehouse
 
@@ -148,3 +149,22 @@ def test_only_small_scans_are_spread(spark, stored):
 def test_pattern_is_applied_inside_generate_once(stored):
     plan = executed(terms.explode_terms(stored, ["region_id"]))
     assert plan.count("regexp_extract_all") == 2  # the terms, and the pieces of rare characters
+
+
+def test_a_task_of_the_counts_meets_few_months_and_sources(spark):
+    fact = spark.range(4000).select(
+        F.col("id").alias("article_id"),
+        F.repeat(F.lit("gobierno "), 20).alias("title"),
+        F.when(F.col("id") % 5 > 0, 20230101 + 100 * (F.col("id") % 4)).cast("int").alias("date_id"),
+        (F.col("id") * 7 % 8).alias("source_id"),
+        F.lit(1).alias("region_id"),
+    )
+    dealt = analytics.dealt_for_counts(fact)
+    groups = dealt.select(F.spark_partition_id().alias("p"), dates.month_key(F.col("date_id")).alias("m"), "source_id")
+    rows = [r["n"] for r in groups.groupBy("p").agg(F.count("*").alias("n")).collect()]
+    assert groups.count() == 4000 and max(rows) < 4000 / 2 and groups.distinct().count() < 3 * groups.select("m", "source_id").distinct().count()
+
+
+def test_divergence_is_aggregated_once(stored):
+    counts = terms.term_counts(stored, ["source_id"])
+    assert "HashAggregate(keys=[source_id" not in executed(terms.vocabulary_divergence(counts, "source_id", 1, 1))

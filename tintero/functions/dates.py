@@ -69,6 +69,11 @@ def day_of(date_id: Column) -> Column:
     return F.try_to_timestamp(date_id.cast("string"), F.lit("yyyyMMdd")).cast("date")
 
 
+def month_key(date_id: Column) -> Column:
+    """yyyymm of a day key, as a number."""
+    return _div(date_id, 100)
+
+
 def key_year(date_id: Column) -> Column:
     return _div(date_id, 10000)
 

@@ -247,7 +247,8 @@ def vocabulary_divergence(
         sum n/T * ln((n/T) / (g/G))  =  sum n*(ln n - ln g) / T  - ln T + ln G
 
     so one aggregate per class suffices, G is the sum of the class totals, and no
-    total has to be joined back to the terms.  ``frequent`` may bring the result of
+    total has to be joined back to the terms.  The aggregate is stored, as G and
+    the order would each compute it again.  ``frequent`` may bring the result of
     :func:`within_vocabulary`.
     """
     if frequent is None:
@@ -261,6 +262,7 @@ def vocabulary_divergence(
             F.sum(n * (F.ln(n) - F.ln(g))).alias("_weighted"),
         )
     )
+    per_class = materialize(per_class, "class-divergence")
     corpus = per_class.agg(F.sum("total_terms").alias("_corpus"))
     total = F.col("total_terms")
     divergence = F.col("_weighted") / total - F.ln(total) + F.ln(corpus.scalar())

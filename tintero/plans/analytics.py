@@ -12,7 +12,7 @@ from tintero.config import AnalyticsConfig
 from tintero.functions import dates
 from tintero.operators import series, terms
 from tintero.operators.joins import add_names
-from tintero.session import materialize, spread_small
+from tintero.session import materialize, spread_in_order
 from tintero.sources import results
 from tintero.sources import warehouse as store
 
@@ -40,12 +40,18 @@ def base_counts(fact: DataFrame, config: AnalyticsConfig = AnalyticsConfig()) ->
     return terms.term_counts(fact, [when, "region_id", "source_id"], texts, config.token_rules)
 
 
+def dealt_for_counts(stored: DataFrame) -> DataFrame:
+    """A stored fact in tasks of bounded text that hold few months and sources each, for :func:`base_counts`."""
+    order = [dates.month_key(F.col("date_id")), "source_id", "region_id", "article_id"]
+    return spread_in_order(stored, order)
+
+
 def analytics_frames(
     spark: SparkSession, warehouse: str, config: AnalyticsConfig = AnalyticsConfig()
 ) -> dict[str, DataFrame]:
     """The four results as DataFrames, all derived from one stored count table."""
     fact = store.scan_fact(spark, warehouse)
-    base = materialize(base_counts(spread_small(fact, "article_id"), config), "term-counts")
+    base = materialize(base_counts(dealt_for_counts(fact), config), "term-counts")
     regions = store.read_dimension(spark, warehouse, "dim_region", "region_key", "region_name")
     sources = store.read_dimension(spark, warehouse, "dim_source", "source_id", "source_name")
     return frames_of(fact, base, regions, sources, config)

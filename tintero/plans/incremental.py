@@ -16,7 +16,7 @@ from tintero.operators import cleaning, dimensions, quality
 from tintero.operators.date_formats import elect_format
 from tintero.operators.fact import assemble_fact
 from tintero.operators.joins import BROADCAST_ROWS, fits_broadcast
-from tintero.plans.analytics import base_counts, frames_of
+from tintero.plans.analytics import base_counts, dealt_for_counts, frames_of
 from tintero.plans.warehouse import InvalidWarehouse
 from tintero.session import materialize, scratch_path, spread_small
 from tintero.sources import snapshots
@@ -136,7 +136,7 @@ def month_counts(
     if stale or gone:
         build = snapshots.new_build()
         fact = snapshots.read_months(spark, snapshot, FACT, FACT_SCHEMA, stale)
-        counts = base_counts(spread_small(fact, "article_id"), config)
+        counts = base_counts(dealt_for_counts(fact), config)
         year_month = F.col("year_month")
         counts = counts.withColumns({"year": F.substring(year_month, 1, 4).cast("int"), "month": F.substring(year_month, 6, 2)})
         written = snapshots.write_months(counts, stored, _COUNTS, build)
